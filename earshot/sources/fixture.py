@@ -8,7 +8,7 @@ splits the partition of a track that holds much of the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.schema import RADAR_FEATURES, TRACK_FEATURES
@@ -19,130 +19,131 @@ USERS = ("user_a", "user_b", "user_c")
 _MULTIPLIERS = dict(zip(RADAR_FEATURES, (13, 17, 19, 29, 31, 41, 43)))
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Stated, so that building a query does not read file footers.
+_SCHEMAS = {
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+        "value double, props string"
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+}
 
 
-def _unless(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _features() -> dict[str, Column]:
-    key = F.col("p_partkey")
+def _features() -> list[str]:
+    """The mapping's feature columns as SQL over `p_partkey`."""
     columns = {
-        name: (key * multiplier % 1000) / F.lit(1000.0)
+        name: f"(p_partkey * {multiplier} % 1000) / 1000D"
         for name, multiplier in _MULTIPLIERS.items()
     }
-    columns["energy"] = _unless(key % 31 == 0, columns["energy"])
-    columns["key"] = (key % 12).cast("int")
-    columns["mode"] = (key % 2).cast("int")
-    columns["loudness"] = (-(key % 60)).cast("double")
-    columns["tempo"] = _unless(key % 29 == 0, (600 + key * 37 % 1200) / F.lit(10.0))
-    return columns
+    columns["energy"] = f"IF(p_partkey % 31 != 0, {columns['energy']}, NULL)"
+    columns["key"] = "CAST(p_partkey % 12 AS INT)"
+    columns["mode"] = "CAST(p_partkey % 2 AS INT)"
+    columns["loudness"] = "CAST(-(p_partkey % 60) AS DOUBLE)"
+    columns["tempo"] = "IF(p_partkey % 29 != 0, (600 + p_partkey * 37 % 1200) / 10D, NULL)"
+    return [f"{columns[name]} AS {name}" for name in TRACK_FEATURES]
 
 
-def _track_id() -> Column:
-    return F.col("p_partkey").cast("string")
+_BRAND = "CAST(substring(p_brand, 7) AS BIGINT)"
+_TRACK_ID = "CAST(p_partkey AS STRING) AS track_id"
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per track key: names, artist attributes, features, length."""
-    key = F.col("p_partkey")
-    brand = F.substring("p_brand", 7, 10).cast("bigint")
-    nameless = key % 23 == 0
-    features = _features()
-    return _table(spark, sf_dir, "part").select(
-        key,
-        F.col("p_name").alias("track_name"),
-        _unless(nameless, F.col("p_brand")).alias("artist_name"),
-        F.concat(F.lit("album "), F.col("p_size")).alias("album_name"),
-        _unless(nameless | (brand % 8 == 0), F.concat(F.lit("genre "), brand % 6)).alias("genre"),
-        _unless(nameless | (brand % 9 == 0), F.concat(F.lit("img/"), brand)).alias("image"),
-        _unless(nameless | (brand % 5 == 0), brand * 1371).alias("followers"),
-        *[features[name].alias(name) for name in TRACK_FEATURES],
-        F.concat(F.lit("spotify:track:"), key).alias("spotify_track_uri"),
-        _unless(key % 37 == 0, 120000 + key * 700).alias("duration_ms"),
+    named = "p_partkey % 23 != 0"
+    return _table(spark, sf_dir, "part").selectExpr(
+        "p_partkey",
+        "p_name AS track_name",
+        f"IF({named}, p_brand, NULL) AS artist_name",
+        "concat('album ', p_size) AS album_name",
+        f"IF({named} AND {_BRAND} % 8 != 0, concat('genre ', {_BRAND} % 6), NULL) AS genre",
+        f"IF({named} AND {_BRAND} % 9 != 0, concat('img/', {_BRAND}), NULL) AS image",
+        f"IF({named} AND {_BRAND} % 5 != 0, {_BRAND} * 1371, NULL) AS followers",
+        *_features(),
+        "concat('spotify:track:', p_partkey) AS spotify_track_uri",
+        "IF(p_partkey % 37 != 0, 120000 + p_partkey * 700, NULL) AS duration_ms",
     )
 
 
 def _listening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plays' own columns: when, who, how long and which track key."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    user = F.col("user_id") % 3
-    shifted = F.col("ts") + F.make_dt_interval((F.col("event_id") % 330).cast("int"))
+    users = ", ".join(f"'{user}'" for user in USERS)
     return (
         _table(spark, sf_dir, "events")
-        .select(
+        .selectExpr(
             "event_id",
-            shifted.alias("time"),
-            F.element_at(F.array(*[F.lit(u) for u in USERS]), (user + 1).cast("int")).alias(
-                "username"
-            ),
-            F.round(F.col("value") * 1000).cast("bigint").alias("ms_played"),
-            user.alias("_user"),
-            k.alias("_k"),
+            "ts + make_dt_interval(CAST(event_id % 330 AS INT)) AS time",
+            f"element_at(array({users}), CAST(user_id % 3 + 1 AS INT)) AS username",
+            "CAST(round(value * 1000) AS BIGINT) AS ms_played",
+            "user_id % 3 AS _user",
+            "CAST(get_json_object(props, '$.k') AS BIGINT) AS _k",
         )
-        .withColumn("track_key", F.expr("(_k * _k) div (50 + 200 * _user)"))
-        .drop("_user", "_k")
+        .selectExpr("* EXCEPT (_user, _k)", "(_k * _k) div (50 + 200 * _user) AS track_key")
     )
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The curated plays table, one row per event."""
+    """The curated plays table, one row per event.
+
+    Catalogue keys are present, so null-safe equality joins the same rows. With plain
+    equality Spark would repeat filters on catalogue columns on the other side, where
+    every mention of the key parses the event's JSON again.
+    """
     listening = _listening(spark, sf_dir)
-    tracks = catalogue(spark, sf_dir)
-    joined = listening.join(tracks, listening.track_key == tracks.p_partkey, "inner")
+    tracks = catalogue(spark, sf_dir).filter(F.col("p_partkey").isNotNull())
+    same_key = listening.track_key.eqNullSafe(tracks.p_partkey)
+    joined = listening.join(tracks, same_key, "inner")
     return joined.drop("track_key", "p_partkey").withColumn("hour", F.hour("time"))
 
 
 def raw_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plays as accounts export them; `username` says whose export a row is from."""
-    return plays(spark, sf_dir).select(
+    return plays(spark, sf_dir).selectExpr(
         "event_id",
         "username",
-        F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"),
+        "date_format(time, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS ts",
         "ms_played",
-        F.col("track_name").alias("master_metadata_track_name"),
-        F.col("album_name").alias("master_metadata_album_album_name"),
-        F.col("artist_name").alias("master_metadata_album_artist_name"),
+        "track_name AS master_metadata_track_name",
+        "album_name AS master_metadata_album_album_name",
+        "artist_name AS master_metadata_album_artist_name",
         "spotify_track_uri",
-        F.lit("web").alias("platform"),
-        F.lit("XX").alias("conn_country"),
-        F.lit("0.0.0.0").alias("ip_addr_decrypted"),
-        F.lit("agent").alias("user_agent_decrypted"),
+        "'web' AS platform",
+        "'XX' AS conn_country",
+        "'0.0.0.0' AS ip_addr_decrypted",
+        "'agent' AS user_agent_decrypted",
     )
 
 
 def track_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The track lookup: features by track id."""
-    features = _features()
-    return _table(spark, sf_dir, "part").select(
-        _track_id().alias("track_id"), *[features[name].alias(name) for name in TRACK_FEATURES]
-    )
+    return _table(spark, sf_dir, "part").selectExpr(_TRACK_ID, *_features())
 
 
 def track_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The track lookup's other half: the list of a track's artists."""
-    return _table(spark, sf_dir, "part").select(
-        _track_id().alias("track_id"), F.array("p_brand").alias("artist_ids")
-    )
+    return _table(spark, sf_dir, "part").selectExpr(_TRACK_ID, "array(p_brand) AS artist_ids")
 
 
 def artist_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The artist lookup, with genres and images still as lists."""
-    brands = _table(spark, sf_dir, "part").select("p_brand").distinct()
-    b = F.substring("p_brand", 7, 10).cast("bigint")
-    no_genres = F.array().cast("array<string>")
-    no_images = F.array().cast("array<struct<url:string>>")
-    return brands.select(
-        F.col("p_brand").alias("artist_id"),
-        F.when(b % 8 == 0, no_genres)
-        .otherwise(F.array(F.concat(F.lit("genre "), b % 6)))
-        .alias("genres"),
-        F.when(b % 9 == 0, no_images)
-        .otherwise(F.array(F.struct(F.concat(F.lit("img/"), b).alias("url"))))
-        .alias("images"),
-        _unless(b % 5 == 0, b * 1371).alias("followers"),
+    genre = f"array(concat('genre ', {_BRAND} % 6))"
+    image = f"array(named_struct('url', concat('img/', {_BRAND})))"
+    return (
+        _table(spark, sf_dir, "part")
+        .select("p_brand")
+        .distinct()
+        .selectExpr(
+            "p_brand AS artist_id",
+            f"IF({_BRAND} % 8 != 0, {genre}, CAST(array() AS array<string>)) AS genres",
+            f"IF({_BRAND} % 9 != 0, {image}, CAST(array() AS array<struct<url:string>>)) AS images",
+            f"IF({_BRAND} % 5 != 0, {_BRAND} * 1371, NULL) AS followers",
+        )
     )
 
 
