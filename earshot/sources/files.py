@@ -51,13 +51,11 @@ def read_json_table(
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     """CSV with a header, no row index and `NA` for missing values."""
-    df.write.mode(mode).csv(
-        path,
-        header=True,
-        nullValue=MISSING_TEXT,
-        emptyValue="",
-        escape='"',
-        timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
+    # As text a timestamp keeps its fraction if it has one, and is plain otherwise.
+    times = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    as_text = df.withColumns({name: F.col(name).cast("string") for name in times})
+    as_text.write.mode(mode).csv(
+        path, header=True, nullValue=MISSING_TEXT, emptyValue="", escape='"'
     )
 
 

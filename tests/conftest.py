@@ -21,6 +21,7 @@ def spark():
         shuffle_partitions=8,
         spark__ui__enabled="false",
         spark__driver__memory="8g",
+        spark__sql__maxMetadataStringLength="2000",
     )
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
