@@ -1,21 +1,19 @@
 """Gaussian kernel density of a numeric column, as violin plots draw it.
 
 Every step works on (value, count) pairs, and their shuffle is shared by all steps.
-The one-row results they need, range and bandwidth, enter as scalar subqueries, each
-attached once as a struct column so that the plan stays small.
+The one row of range and bandwidth enters as a scalar subquery.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GRID_POINTS = 512
-# Bins that locate a quartile before values are ranked inside one bin.
-_QUANTILE_BINS = 65536
-_QUARTILES = {"q1": 0.25, "q3": 0.75}
+# Bins per doubling of 1 + |value|. A double has at most 1024 doublings on either
+# side of zero, so there are never more than two million bins; values up to 1000
+# make ten thousand.
+_BINS_PER_DOUBLING = 1024
 
 
 def value_counts(values: DataFrame, column: str) -> DataFrame:
@@ -24,98 +22,84 @@ def value_counts(values: DataFrame, column: str) -> DataFrame:
     return present.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _with_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
-    return df.withColumn(name, row.select(F.struct(*row.columns)).scalar())
-
-
 def _binned(pairs: DataFrame) -> DataFrame:
-    """Pairs with their equal-width bin and their summed squared deviation."""
-    moments = pairs.agg(
-        F.min("v").alias("lo"),
-        F.max("v").alias("hi"),
-        (F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("mean"),
-    )
-    width = F.nullif(F.col("m.hi") - F.col("m.lo"), F.lit(0.0))
-    position = F.floor((F.col("v") - F.col("m.lo")) / width * _QUANTILE_BINS)
-    return _with_row(pairs, moments, "m").select(
-        "v",
-        "n",
-        F.coalesce(F.least(position, F.lit(_QUANTILE_BINS - 1)), F.lit(0)).alias("bin"),
-        (F.col("n") * F.pow(F.col("v") - F.col("m.mean"), 2)).alias("squares"),
-    )
+    """Pairs with a bin that rises with the value, and their distance from its edge.
 
-
-def _ranks(total: Column) -> dict[str, tuple[Column, Column]]:
-    """Per quartile its fractional rank from 0 and the rank's whole part."""
-    ranks = {name: (total - 1) * share for name, share in _QUARTILES.items()}
-    return {name: (rank, F.floor(rank)) for name, rank in ranks.items()}
-
-
-def _covers(start: str, count: str, rank: Column) -> Column:
-    """The `count` rows from rank `start` on include `rank`."""
-    return (F.col(start) <= rank) & (rank < F.col(start) + F.col(count))
+    The bin follows from the value alone, so no pass for the range comes first. It is
+    declared present, or the join on it would filter one use of the pairs and
+    compute them anew.
+    """
+    rate = _BINS_PER_DOUBLING
+    bin_of = f"CAST(signum(v) * floor(log2(1 + abs(v)) * {rate}) AS BIGINT)"
+    return pairs.selectExpr("v", "n", f"coalesce({bin_of}, 0L) AS bin").selectExpr(
+        "*", f"signum(bin) * (pow(2D, abs(bin) / {rate}D) - 1) AS edge"
+    )
 
 
 def summary(pairs: DataFrame) -> DataFrame:
     """One row: `lo`, `hi`, `total`, `sd` and the interpolated quartiles `q1`, `q3`.
 
     Exact without ranking all values in one task: the pairs are counted into bins,
-    and only the at most four bins that hold a wanted rank are ranked inside.
+    and only the at most four bins that hold a wanted rank are ranked inside. Squared
+    deviations are summed around each bin's edge and then moved to the mean.
     """
     binned = _binned(pairs)
-    # The windows over all bins see _QUANTILE_BINS rows at most.
-    everything = Window.partitionBy()
-    so_far = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    # Windows over everything see bins only, whose number is bounded.
     bins = (
-        binned.groupBy("bin")
+        binned.groupBy("bin", "edge")
         .agg(
-            F.sum("n").alias("in_bin"),
-            F.sum("squares").alias("squares"),
-            F.min("v").alias("lo"),
-            F.max("v").alias("hi"),
+            F.expr("sum(n)").alias("in_bin"),
+            F.expr("sum(n * (v - edge))").alias("s1"),
+            F.expr("sum(n * pow(v - edge, 2))").alias("s2"),
+            F.expr("min(v)").alias("lo"),
+            F.expr("max(v)").alias("hi"),
         )
-        .select(
+        .selectExpr(
             "bin",
             "in_bin",
-            (F.sum("in_bin").over(so_far) - F.col("in_bin")).alias("before"),
-            F.sum("in_bin").over(everything).alias("total"),
-            F.sum("squares").over(everything).alias("squares"),
-            F.min("lo").over(everything).alias("lo"),
-            F.max("hi").over(everything).alias("hi"),
+            "s1",
+            "s2",
+            "edge",
+            "sum(in_bin) OVER (ORDER BY bin) - in_bin AS before",
+            "sum(in_bin) OVER () AS total",
+            "sum(in_bin * edge + s1) OVER () / sum(in_bin) OVER () AS mean",
+            "min(lo) OVER () AS lo",
+            "max(hi) OVER () AS hi",
+        )
+        .selectExpr(
+            "bin AS hit_bin",
+            "in_bin",
+            "before",
+            "total",
+            "lo",
+            "hi",
+            "sum(s2 + 2 * (edge - mean) * s1 + in_bin * pow(edge - mean, 2)) OVER () AS squares",
         )
     )
-    (r1, w1), (r3, w3) = _ranks(F.col("total")).values()
-    wanted = [w1, w1 + 1, w3, w3 + 1]
-    # The rank after the last one is only ever asked for with weight 0.
-    wanted = [F.least(rank, F.col("total") - 1) for rank in wanted]
-    hit = bins.filter(
-        _covers("before", "in_bin", wanted[0])
-        | _covers("before", "in_bin", wanted[1])
-        | _covers("before", "in_bin", wanted[2])
-        | _covers("before", "in_bin", wanted[3])
-    )
-    in_order = Window.partitionBy("bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = (
-        binned.drop("squares")
-        .join(F.broadcast(hit), "bin")
-        .withColumn("start", F.col("before") + F.sum("n").over(in_order) - F.col("n"))
-    )
-    at = [F.max(F.when(_covers("start", "n", rank), F.col("v"))) for rank in wanted]
-    row = inside.agg(
-        *[F.max(name).alias(name) for name in ("lo", "hi", "total", "squares")],
-        *[value.alias(f"x{i}") for i, value in enumerate(at)],
+    low, high = "(total - 1) * 0.25D", "(total - 1) * 0.75D"
+    # Each quartile lies between two neighbouring ranks; past the last rank the
+    # neighbour has no weight, so the last one stands in.
+    ranks = [
+        f"least(floor({rank}) + {step}, total - 1)" for rank in (low, high) for step in (0, 1)
+    ]
+    hit = bins.filter(" OR ".join(f"(before <= {r} AND {r} < before + in_bin)" for r in ranks))
+    ranked = (
+        binned.select("v", "n", "bin")
+        .join(F.broadcast(hit), F.col("bin") == F.col("hit_bin"))
+        .selectExpr("*", "before + sum(n) OVER (PARTITION BY bin ORDER BY v) - n AS start")
     )
-
-    def between(low: str, high: str, rank: Column) -> Column:
-        return F.col(low) + (rank - F.floor(rank)) * (F.col(high) - F.col(low))
-
-    return row.select(
+    values = [
+        f"max(IF(start <= {r} AND {r} < start + n, v, NULL)) AS x{i}"
+        for i, r in enumerate(ranks)
+    ]
+    whole = [f"max({name}) AS {name}" for name in ("lo", "hi", "total", "squares")]
+    return ranked.agg(*map(F.expr, whole + values)).selectExpr(
         "lo",
         "hi",
         "total",
-        F.sqrt(F.col("squares") / F.nullif(F.col("total") - 1, F.lit(0))).alias("sd"),
-        between("x0", "x1", r1).alias("q1"),
-        between("x2", "x3", r3).alias("q3"),
+        "IF(lo = hi, 0D, sqrt(greatest(squares, 0D) / nullif(total - 1, 0))) AS sd",
+        f"x0 + ({low} - floor({low})) * (x1 - x0) AS q1",
+        f"x2 + ({high} - floor({high})) * (x3 - x2) AS q3",
     )
 
 
@@ -126,42 +110,38 @@ def bandwidth(pairs: DataFrame) -> DataFrame:
     the deviation is used, then the size of the value itself, then 1. Fewer than two
     values have no bandwidth.
     """
-    zero = F.lit(0.0)
-    narrow = F.least(F.col("sd"), (F.col("q3") - F.col("q1")) / F.lit(1.34))
-    spread = F.coalesce(
-        F.nullif(narrow, zero),
-        F.nullif(F.col("sd"), zero),
-        F.nullif(F.abs("lo"), zero),
-        F.lit(1.0),
-    )
-    h = F.when(F.col("total") > 1, 0.9 * spread * F.pow("total", F.lit(-0.2)))
-    return summary(pairs).select("lo", "hi", "total", h.alias("h"))
+    narrow = "least(sd, (q3 - q1) / 1.34D)"
+    spread = f"coalesce(nullif({narrow}, 0), nullif(sd, 0), nullif(abs(lo), 0), 1)"
+    h = f"IF(total > 1, 0.9D * {spread} * pow(total, -0.2D), NULL) AS h"
+    return summary(pairs).selectExpr("lo", "hi", "total", h)
 
 
 def density(values: DataFrame, column: str, points: int = GRID_POINTS) -> DataFrame:
     """Density of `column` at `points` equally spaced positions between its extremes.
 
     Missing values are left out; fewer than two values give no rows. The result has
-    the position's number `point`, its place `x` and the density `density`.
+    the position's number `point`, its place `x` and the density `density`, in no
+    particular order.
     """
     pairs = value_counts(values, column)
-    step = (F.col("b.hi") - F.col("b.lo")) / F.lit(float(points - 1))
-    x = F.col("b.lo") + F.col("point") * step
-    area = F.lit(math.sqrt(2 * math.pi)) * F.col("b.total") * F.col("b.h")
-    kernel = F.exp(F.lit(-0.5) * F.pow((F.col("x") - F.col("v")) / F.col("h"), 2))
-    # Each task sums its own values per position, so `points` rows per task are shuffled.
+    band = bandwidth(pairs).selectExpr("struct(*)").scalar().alias("b")
     grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
+    # Each task sums its own values per position, so `points` rows per task are shuffled.
     return (
-        _with_row(pairs, bandwidth(pairs), "b")
+        pairs.select("v", "n", band)
         .select("v", "n", "b", grid)
-        .select(
-            "v", "n", "point", x.alias("x"), F.col("b.h").alias("h"), area.alias("area")
+        .selectExpr(
+            "v",
+            "n",
+            "point",
+            f"b.lo + point * (b.hi - b.lo) / {float(points - 1)}D AS x",
+            "b.h AS h",
+            "sqrt(2 * pi()) * b.total * b.h AS area",
         )
         .groupBy("point")
         .agg(
             F.min("x").alias("x"),
-            (F.sum(F.col("n") * kernel) / F.min("area")).alias("density"),
+            F.expr("sum(n * exp(-0.5D * pow((x - v) / h, 2))) / min(area)").alias("density"),
         )
-        .filter(F.col("density").isNotNull())
-        .orderBy("point")
+        .filter("density IS NOT NULL")
     )

@@ -38,7 +38,7 @@ CASES = {
 @pytest.mark.parametrize("name", CASES)
 def test_density_equals_brute_force(spark, name):
     x, y, _ = _brute(CASES[name])
-    got = density(_frame(spark, CASES[name]), "x").collect()
+    got = density(_frame(spark, CASES[name]), "x").orderBy("point").collect()
     assert [r.point for r in got] == list(range(512))
     np.testing.assert_allclose([r.x for r in got], x, rtol=1e-12)
     np.testing.assert_allclose([r.density for r in got], y, rtol=1e-9)

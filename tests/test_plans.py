@@ -162,3 +162,24 @@ def test_hot_track_is_split_in_the_feature_join(unbroadcast):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def _stages(spark):
+    context = spark.sparkContext
+    quantiles = context._gateway.new_array(context._jvm.double, 0)
+    stages = context._jsc.sc().statusStore().stageList(None, False, False, quantiles, None)
+    return {s.stageId(): s for s in (stages.apply(i) for i in range(stages.size()))}
+
+
+@pytest.mark.parametrize(
+    "name, scans", [("artist_tempo_density", 2), ("feature_distribution", 1)]
+)
+def test_density_reads_its_values_once(spark, name, scans):
+    """All steps share one shuffle of (value, count) pairs; finding the artist is one more."""
+    events = spark.read.parquet(f"{SMALL}/events.parquet").count()
+    before = set(_stages(spark))
+    QUERIES[name](spark, SMALL).collect()
+    new = [stage for number, stage in _stages(spark).items() if number not in before]
+    assert sum(stage.inputRecords() for stage in new if stage.inputRecords() >= events) == (
+        scans * events
+    )

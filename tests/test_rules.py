@@ -368,10 +368,10 @@ def test_feature_distribution_limits_and_restriction(spark, make_plays):
         ],
         SONGS,
     )
-    everything = wrapped.feature_distribution(songs, "ann", "valence").collect()
+    everything = wrapped.feature_distribution(songs, "ann", "valence").orderBy("x").collect()
     assert (everything[0].x, everything[-1].x) == (0.2, pytest.approx(0.8))
     heard = make_plays({"track_name": "a"}, {"track_name": "b"})
-    some = wrapped.feature_distribution(songs, "ann", "valence", heard).collect()
+    some = wrapped.feature_distribution(songs, "ann", "valence", heard).orderBy("x").collect()
     assert (some[0].x, some[-1].x) == (0.2, pytest.approx(0.4))
     with pytest.raises(ValueError):
         wrapped.feature_distribution(songs, "ann", "tempo")
