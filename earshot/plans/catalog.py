@@ -13,8 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.operators import blend, compat, filters, prepare, stats, wrapped
-from earshot.schema import RADAR_FEATURES
-from earshot.sources import calendar, days_spanned, fixture, union_by_name
+from earshot.plans import etl
+from earshot.schema import PLAYLIST, RADAR_FEATURES
+from earshot.sources import (
+    calendar,
+    days_spanned,
+    fixture,
+    read_csv_table,
+    read_json_table,
+    union_by_name,
+    write_csv,
+)
+from earshot.sources.shared import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,7 +108,9 @@ def artist_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def enrich_track_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.attach_track_features(_normalised(spark, sf_dir), track_dim(spark, sf_dir))
+    return etl.with_track_features(
+        _normalised(spark, sf_dir), fixture.track_features(spark, sf_dir)
+    )
 
 
 @query
@@ -108,7 +120,11 @@ def first_of_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def enrich_artist_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.attach_artist_attributes(_normalised(spark, sf_dir), artist_dim(spark, sf_dir))
+    return etl.with_artist_attributes(
+        _normalised(spark, sf_dir),
+        fixture.track_artists(spark, sf_dir),
+        fixture.artist_profiles(spark, sf_dir),
+    )
 
 
 @query
@@ -116,6 +132,36 @@ def apply_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.apply_cutoff(fixture.plays(spark, sf_dir), CUTOFFS)
 
 
+@query
+def curated_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return etl.curated_plays(
+        fixture.raw_export(spark, sf_dir),
+        fixture.track_features(spark, sf_dir),
+        fixture.track_artists(spark, sf_dir),
+        fixture.artist_profiles(spark, sf_dir),
+        cutoffs=CUTOFFS,
+    )
+
+
+@query
+def personal_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(compat.personal_playlist(fixture.plays(spark, sf_dir)), "time")
+
+
+@query
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark)
+    write_csv(personal_playlist(spark, sf_dir), path)
+    return read_csv_table(spark, path, PLAYLIST)
+
+
+@query
+def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark)
+    personal_playlist(spark, sf_dir).write.json(path)
+    return read_json_table(spark, path, PLAYLIST, lines=True)
+
+
 # Selections
 
 

@@ -104,9 +104,8 @@ profiles AS (
   FROM (SELECT p_brand, CAST(substr(p_brand, 7) AS BIGINT) AS b FROM part)
 )"""
 
-_ARTIST_DIM = (
-    _NORMALISED
-    + ","
+_ARTIST_PART = (
+    ","
     + _PROFILES
     + """,
 artist_dim AS (
@@ -120,6 +119,8 @@ artist_dim AS (
 )"""
 )
 
+_ARTIST_DIM = _NORMALISED + _ARTIST_PART
+
 _SONGS = """,
 songs AS (
   SELECT username AS person, track_name, artist_name, duration_ms, {features},
@@ -209,6 +210,13 @@ UNION ALL SELECT 2, 'min', {zeros} FROM {source}
 UNION ALL SELECT 3, 'value', {_RADAR} FROM {source}"""
 
 
+_PLAYLIST = f""",
+playlist AS (
+  SELECT username AS who, artist_name, track_name, count(*) AS count, {_MINUTES} AS time,
+    min(image) AS image
+  FROM plays WHERE artist_name IS NOT NULL AND track_name IS NOT NULL GROUP BY ALL
+)"""
+
 _USERS = ("user_a", "user_b", "user_c")
 
 
@@ -304,6 +312,18 @@ LEFT JOIN artist_dim d ON n.artist_name = d.artist_name""",
 SELECT * FROM plays
 WHERE username IS DISTINCT FROM 'user_c' OR time < TIMESTAMP '2024-12-08'""",
     ),
+    "curated_plays": _with(
+        _TRACK_DIM + _ARTIST_PART,
+        f"""
+SELECT n.*, {_ALL_FEATURES}, a.image, a.genre, a.followers FROM normalised n
+LEFT JOIN track_dim t ON n.track_name IS NOT DISTINCT FROM t.track_name
+LEFT JOIN artist_dim a ON n.artist_name = a.artist_name
+WHERE username <> 'user_c' OR time < TIMESTAMP '2024-12-08'""",
+    ),
+    **dict.fromkeys(
+        ("personal_playlist", "csv_round_trip", "json_round_trip"),
+        _with(_PLAYS + _PLAYLIST, "SELECT * REPLACE (round(time, 6) AS time) FROM playlist"),
+    ),
     "plays": _with(_PLAYS, "SELECT * FROM plays"),
     "user_plays": _with(_OWN, "SELECT * FROM own"),
     "all_plays_in_range": _with(_RANGE, "SELECT * FROM ranged"),
@@ -523,17 +543,12 @@ GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
         "SELECT artist_name, time_left FROM shared ORDER BY time_left DESC, artist_name LIMIT 3",
     ),
     "group_playlist": _with(
-        _PLAYS,
-        f"""
+        _PLAYS + _PLAYLIST,
+        """
 SELECT artist_name, track_name, count(*) AS people,
   CAST(round_even(avg(count), 0) AS BIGINT) AS avg_count, round(avg(time), 6) AS avg_time,
   coalesce(min(image), 'default_value') AS image
-FROM (
-  SELECT username AS who, artist_name, track_name, count(*) AS count, {_MINUTES} AS time,
-    min(image) AS image
-  FROM plays WHERE artist_name IS NOT NULL AND track_name IS NOT NULL GROUP BY ALL
-)
-WHERE who IN ('user_a', 'user_b', 'user_c') GROUP BY artist_name, track_name
+FROM playlist WHERE who IN ('user_a', 'user_b', 'user_c') GROUP BY artist_name, track_name
 ORDER BY people DESC, avg_count DESC, avg(time) DESC, artist_name, track_name LIMIT 15""",
     ),
 }

@@ -14,13 +14,14 @@ SMALL = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     spark = session(
         app="tests",
         master="local[8]",
         shuffle_partitions=8,
         spark__ui__enabled="false",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__maxMetadataStringLength="2000",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,0 +1,57 @@
+"""Intermediate tables in the shared folder."""
+
+from pathlib import Path
+from types import SimpleNamespace
+
+import pytest
+
+from earshot.sources import shared
+from earshot.sources.shared import FOLDER_SETTING, new_path, settled, shared_folder
+
+
+def _session(folder, master):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: folder if key == FOLDER_SETTING else default),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_folder_comes_from_the_session():
+    assert shared_folder(_session("hdfs://x/y", "yarn")) == "hdfs://x/y"
+    path = new_path(_session("hdfs://x/y/", "yarn"))
+    assert path.startswith("hdfs://x/y/earshot-")
+    assert path != new_path(_session("hdfs://x/y/", "yarn"))
+
+
+def test_only_local_mode_makes_its_own_folder():
+    assert Path(shared_folder(_session(None, "local[2]"))).is_dir()
+    assert shared_folder(_session(None, "yarn")) is None
+    with pytest.raises(RuntimeError, match=FOLDER_SETTING):
+        new_path(_session(None, "yarn"))
+
+
+def test_without_a_folder_a_frame_stays_lazy(spark, monkeypatch):
+    monkeypatch.setattr(shared, "shared_folder", lambda spark: None)
+    frame = spark.range(3)
+    assert settled(frame) is frame
+
+
+def test_settled_size_decides_the_join(spark, rows):
+    facts = spark.range(1000).selectExpr("id % 7 AS k")
+    dim = settled(spark.range(7).selectExpr("id AS k", "id * 2 AS twice"))
+    assert Path(dim.inputFiles()[0].removeprefix("file:")).is_relative_to(
+        spark.conf.get(FOLDER_SETTING)
+    )
+    joined = facts.join(dim, "k", "left")
+    assert joined.filter("twice = 2 * k").count() == 1000
+
+    def plan():
+        fresh = facts.join(dim, "k", "left")
+        return fresh._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        assert "SortMergeJoin" in plan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
