@@ -8,6 +8,7 @@ from earshot.functions.columns import (
     months_between,
     n_distinct,
     strict_mean,
+    weekday_name,
     whole,
 )
 from earshot.functions.frames import file_order, first_per_key, numbered, top_n
@@ -26,5 +27,6 @@ __all__ = [
     "numbered",
     "strict_mean",
     "top_n",
+    "weekday_name",
     "whole",
 ]

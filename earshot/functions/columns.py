@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MS_PER_MINUTE = 60000.0
+WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 
 def asc(name: str) -> Column:
@@ -46,6 +47,11 @@ def iso_weekday(day: Column) -> Column:
     return F.weekday(day) + 1
 
 
+def weekday_name(weekday: str) -> Column:
+    """The English name of a weekday number."""
+    return F.element_at(F.array(*map(F.lit, WEEKDAYS)), F.col(weekday))
+
+
 def _midnight(day: date) -> Column:
     return F.lit(day.isoformat()).cast("timestamp_ntz")
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.functions import asc, desc, minutes, n_distinct, whole
+from earshot.functions.columns import MS_PER_MINUTE
 
 
 def rank_listening_time(plays: DataFrame) -> DataFrame:
@@ -140,6 +141,6 @@ def cumulative_minutes(plays: DataFrame) -> DataFrame:
     return per_day.select(
         F.col("username").alias("name"),
         "date",
-        (F.col("ms") / F.lit(60000.0)).alias("total_minutes"),
-        (F.sum("ms").over(so_far) / F.lit(60000.0)).alias("cumsum"),
+        (F.col("ms") / F.lit(MS_PER_MINUTE)).alias("total_minutes"),
+        (F.sum("ms").over(so_far) / F.lit(MS_PER_MINUTE)).alias("cumsum"),
     ).orderBy("name", "date")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.functions import asc, desc, minutes, top_n, whole
+from earshot.functions.columns import MS_PER_MINUTE
 from earshot.schema import RADAR_FEATURES
 
 DEFAULT_IMAGE = "default_value"
@@ -58,7 +59,7 @@ def shared_artists(plays: DataFrame, left: str, right: str, n: int = 100) -> Dat
     pointed = best.select(
         "username",
         "artist_name",
-        (F.col("ms") / F.lit(60000.0)).alias("time"),
+        (F.col("ms") / F.lit(MS_PER_MINUTE)).alias("time"),
         (F.col("ms") / all_ms * 100).alias("points"),
     )
 

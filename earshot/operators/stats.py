@@ -20,8 +20,10 @@ from earshot.functions import (
     n_distinct,
     numbered,
     top_n,
+    weekday_name,
     whole,
 )
+from earshot.functions.columns import MS_PER_MINUTE
 from earshot.operators.density import density
 from earshot.schema import RADAR_FEATURES
 
@@ -57,8 +59,8 @@ def _share(plays: DataFrame, key: Column, name: str) -> DataFrame:
     total = F.sum("_ms").over(Window.partitionBy())
     return per_key.select(
         name,
-        (F.col("_ms") / F.lit(60000.0)).alias(MINUTES),
-        (total / F.lit(60000.0)).alias("total_time"),
+        (F.col("_ms") / F.lit(MS_PER_MINUTE)).alias(MINUTES),
+        (total / F.lit(MS_PER_MINUTE)).alias("total_time"),
         (F.col("_ms") / total * 100).alias("repartition"),
     ).orderBy(asc(name))
 
@@ -70,7 +72,8 @@ def hourly_share(plays: DataFrame) -> DataFrame:
 
 def weekday_share(plays: DataFrame) -> DataFrame:
     """Minutes per weekday, Monday = 1, and their share of the total in percent."""
-    return _share(plays, iso_weekday(F.to_date("time")), "weekday")
+    share = _share(plays, iso_weekday(F.to_date("time")), "weekday")
+    return share.withColumn("day_of_week", weekday_name("weekday"))
 
 
 def daily_unique_artists(plays: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from earshot.functions import (
     numbered,
     strict_mean,
     top_n,
+    weekday_name,
     whole,
 )
 from earshot.operators.density import density
@@ -54,7 +55,8 @@ def weekday_average_minutes(
     return (
         played.join(F.broadcast(days), ["weekday", "month", "year"])
         .groupBy("weekday")
-        .agg((F.sum("ms") / F.lit(60000.0) / F.sum("days")).alias("time"))
+        .agg((minutes("ms") / F.sum("days")).alias("time"))
+        .select("weekday", weekday_name("weekday").alias("day_of_week"), "time")
         .orderBy("weekday")
     )
 

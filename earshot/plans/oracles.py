@@ -357,7 +357,12 @@ WHERE track_name IS NOT NULL AND artist_name IS NOT NULL AND album_name IS NOT N
 GROUP BY ALL ORDER BY songs_played DESC, track_name, artist_name, album_name LIMIT 10""",
     ),
     "hourly_share": _with(_OWN, _share("hour", "hour")),
-    "weekday_share": _with(_OWN, _share("CAST(isodow(time) AS INTEGER)", "weekday")),
+    "weekday_share": _with(
+        _OWN,
+        f"""
+SELECT *, dayname(DATE '2024-01-01' + weekday - 1) AS day_of_week
+FROM ({_share("CAST(isodow(time) AS INTEGER)", "weekday")})""",
+    ),
     "daily_unique_artists": _with(
         _OWN,
         """
@@ -455,7 +460,8 @@ FROM (
     "weekday_average_minutes": _with(
         _YEAR + _DAYS,
         """
-SELECT p.weekday, CAST(sum(ms) AS BIGINT) / CAST(60000 AS DOUBLE) / CAST(sum(days) AS BIGINT) AS time
+SELECT p.weekday, dayname(DATE '2024-01-01' + p.weekday - 1) AS day_of_week,
+  CAST(sum(ms) AS BIGINT) / CAST(60000 AS DOUBLE) / CAST(sum(days) AS BIGINT) AS time
 FROM (
   SELECT CAST(isodow(time) AS INTEGER) AS weekday, month(time) AS month, year(time) AS year,
     sum(ms_played) AS ms

@@ -107,7 +107,7 @@ def raw_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plays(spark, sf_dir).selectExpr(
         "event_id",
         "username",
-        "date_format(time, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS ts",
+        "concat(replace(substring(CAST(time AS STRING), 1, 19), ' ', 'T'), 'Z') AS ts",
         "ms_played",
         "track_name AS master_metadata_track_name",
         "album_name AS master_metadata_album_album_name",

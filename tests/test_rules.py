@@ -188,7 +188,8 @@ def test_hours_without_plays_have_no_row(make_plays, rows):
 
 def test_weeks_start_on_monday(make_plays):
     plays = make_plays({"time": "2024-03-04 10:00:00"}, {"time": "2024-03-10 10:00:00"})
-    assert [r.weekday for r in stats.weekday_share(plays).collect()] == [1, 7]
+    days = [(r.weekday, r.day_of_week) for r in stats.weekday_share(plays).collect()]
+    assert days == [(1, "Monday"), (7, "Sunday")]
 
 
 def test_rankings_put_missing_last(make_plays, rows):
@@ -278,7 +279,10 @@ def test_weekday_average_divides_by_days_of_heard_months_only(spark, make_plays,
         {"time": "2024-02-06 10:00:00", "ms_played": 240000},
     )
     days = calendar(spark, date(2024, 1, 1), date(2024, 12, 31))
-    assert rows(wrapped.weekday_average_minutes(plays, days, 2024)) == [(1, 2.0), (2, 1.0)]
+    assert rows(wrapped.weekday_average_minutes(plays, days, 2024)) == [
+        (1, "Monday", 2.0),
+        (2, "Tuesday", 1.0),
+    ]
 
 
 def test_hourly_average_divides_by_all_days_of_the_months(spark, make_plays, rows):
