@@ -101,14 +101,17 @@ def mutual_items_of_everyone(plays: DataFrame, keys: Sequence[str], threshold: i
     """Items that every user in `plays` played more than `threshold` times.
 
     Counts per item and user are compared with the number of users, so the number of
-    columns does not depend on who is there.
+    columns does not depend on who is there. Both come from one aggregation: the number
+    of users is taken from the counts, which is why it mentions `n`.
     """
-    everyone = plays.agg(F.count_distinct("username")).scalar()
-    return (
+    counts = (
         plays.filter(F.col("username").isNotNull())
         .groupBy(*keys, "username")
         .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > threshold)
+    )
+    everyone = counts.agg(F.count_distinct(F.when(F.col("n") > 0, F.col("username")))).scalar()
+    return (
+        counts.filter(F.col("n") > threshold)
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("users"), F.sum("n").alias("total"))
         .filter(F.col("users") == everyone)

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
+from earshot.functions import file_order, first_per_key
 from earshot.operators import prepare
 from earshot.sources.shared import settled
 
@@ -34,8 +35,12 @@ def curated_plays(
 ) -> DataFrame:
     """A raw export, normalised, enriched and cut off, ready for `write_plays`."""
     plays = prepare.normalise_export(raw, username)
-    featured = prepare.attach_track_features(
-        plays, settled(prepare.track_dim(plays, track_features))
-    )
-    artists = settled(prepare.artist_dim(plays, track_artists, artist_profiles))
+    # The first row of a track or artist is the first of one of its pairs, so one pass
+    # over the plays serves both dimensions.
+    keys = ["track_name", "artist_name"]
+    order = file_order(plays)
+    firsts = settled(first_per_key(plays.select(*keys, "spotify_track_uri", *order), keys, order))
+    tracks = settled(prepare.track_dim(firsts, track_features))
+    artists = settled(prepare.artist_dim(firsts, track_artists, artist_profiles))
+    featured = prepare.attach_track_features(plays, tracks)
     return prepare.apply_cutoff(prepare.attach_artist_attributes(featured, artists), cutoffs or {})
