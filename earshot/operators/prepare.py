@@ -19,7 +19,7 @@ EXPORT_NAMES = {
     "master_metadata_album_album_name": "album_name",
     "master_metadata_album_artist_name": "artist_name",
 }
-EXPORT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+EXPORT_TIME_SHAPE = "____-__-__T__:__:__Z%"
 TRACK_URI_PREFIX = "spotify:track:"
 PRIVATE_COLUMNS = (
     "X.1",
@@ -35,17 +35,20 @@ def normalise_export(raw: DataFrame, username: str | None = None) -> DataFrame:
     """Rename, parse and strip a raw export; the trailing Z is read as a letter.
 
     `username` names the owner of the whole export; without it the export's own
-    `username` column is kept. A play without a length is an error.
+    `username` column is kept. A time of another shape is missing, and a play without a
+    length is an error.
     """
     private = [name for name in raw.columns if name in PRIVATE_COLUMNS]
     plays = raw.drop(*private).withColumnsRenamed(EXPORT_NAMES)
     length = F.coalesce("ms_played", F.raise_error(F.lit("ms_played is missing")).cast("bigint"))
-    plays = plays.withColumns(
-        {
-            "time": F.to_timestamp_ntz("time", F.lit(EXPORT_TIME_FORMAT)),
-            "ms_played": length,
-        }
-    ).withColumn("hour", F.hour("time"))
+    # Casting the text is much faster than matching it against a date pattern.
+    time = F.when(
+        F.col("time").like(EXPORT_TIME_SHAPE),
+        F.substring("time", 1, 19).try_cast("timestamp_ntz"),
+    )
+    plays = plays.withColumns({"time": time, "ms_played": length}).withColumn(
+        "hour", F.hour("time")
+    )
     return plays if username is None else plays.withColumn("username", F.lit(username))
 
 

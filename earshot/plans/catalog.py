@@ -182,7 +182,8 @@ def all_plays_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def plays_by_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.plays_by_months(fixture.plays(spark, sf_dir), USER, YEAR, FIRST_MONTH, LAST_MONTH)
+    everyone = fixture.plays(spark, sf_dir)
+    return filters.plays_by_months(everyone, USER, YEAR, FIRST_MONTH, LAST_MONTH)
 
 
 # One user
@@ -359,7 +360,8 @@ def feature_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feature_distribution_heard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heard = filters.plays_by_months(fixture.plays(spark, sf_dir), USER, YEAR, FIRST_MONTH, FIRST_MONTH)
+    everyone = fixture.plays(spark, sf_dir)
+    heard = filters.plays_by_months(everyone, USER, YEAR, FIRST_MONTH, FIRST_MONTH)
     dense = wrapped.feature_distribution(fixture.songs(spark, sf_dir), USER, FEATURE, heard)
     return _rounded(dense, "x", "density")
 

@@ -195,7 +195,8 @@ GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"""
 _FIRST_OF_TOP = f""",
 first_of_top AS (
   SELECT * FROM (
-    SELECT * FROM own QUALIFY row_number() OVER (PARTITION BY track_name ORDER BY time, event_id) = 1
+    SELECT * FROM own
+    QUALIFY row_number() OVER (PARTITION BY track_name ORDER BY time, event_id) = 1
   ) WHERE track_name IN (SELECT track_name FROM ({_TOP_NAMES}))
 )"""
 
@@ -493,7 +494,8 @@ GROUP BY 1 ORDER BY 1""",
     WHERE artist_name = {_TOP_ARTIST} AND track_name IS NOT NULL GROUP BY ALL
   ) LEFT JOIN lengths USING (track_name)
 )
-SELECT row_number() OVER (ORDER BY times_played DESC NULLS LAST, artist_name, track_name)::INTEGER AS lp, *
+SELECT *, row_number() OVER (
+    ORDER BY times_played DESC NULLS LAST, artist_name, track_name)::INTEGER AS lp
 FROM counted ORDER BY lp LIMIT 10""",
     ),
     "artist_mean_features": _with(_PLAYS + _SONGS, _ARTIST_MEANS),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from earshot.functions import first_per_key, months_between, n_distinct, strict_mean, whole
 from earshot.operators import blend, compat, filters, stats, wrapped
 from earshot.operators.prepare import apply_cutoff, apply_floor
+from earshot.schema import PLAYLIST
 from earshot.sources import calendar
 
 
@@ -418,7 +419,7 @@ def test_group_playlist_prefers_tracks_of_more_people(spark, rows):
             ("ann", "y", "one", 50, 9.0, None),
             ("eve", "z", "not asked", 99, 9.0, None),
         ],
-        "who string, artist_name string, track_name string, count bigint, time double, image string",
+        PLAYLIST,
     )
     assert rows(compat.group_playlist(playlist, ["ann", "bob"])) == [
         ("x", "both", 2, 2, 1.5, "pic"),

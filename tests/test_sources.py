@@ -116,6 +116,16 @@ def test_export_is_renamed_parsed_and_stripped(spark):
     assert (row.time, row.hour, row.username) == (datetime(2024, 3, 5, 23, 59, 59), 23, "ann")
 
 
+def test_export_times_of_another_shape_are_missing(spark):
+    texts = ["2024-02-30T10:00:00Z", "2024-02-03", "2024-02-03 10:00:00", None, "soon"]
+    raw = _export(spark, {"ts": "2024-02-29T00:00:00Z"}, *[{"ts": text} for text in texts])
+    plays = prepare.normalise_export(raw, "ann").collect()
+    assert [(r.time, r.hour) for r in plays] == [
+        (datetime(2024, 2, 29), 0),
+        *[(None, None)] * len(texts),
+    ]
+
+
 def test_export_without_a_length_is_an_error(spark):
     with pytest.raises(Exception, match="ms_played is missing"):
         prepare.normalise_export(_export(spark, {"ms_played": None})).collect()
@@ -173,7 +183,11 @@ def test_artist_attributes_take_the_first_of_each_list(spark):
         [("1", ["i", "j"]), ("2", ["k"])], "track_id string, artist_ids array<string>"
     )
     profiles = spark.createDataFrame(
-        [("i", ["pop", "rock"], [("u",), ("v",)], 5), ("j", ["no"], [("no",)], 6), ("k", [], [], 7)],
+        [
+            ("i", ["pop", "rock"], [("u",), ("v",)], 5),
+            ("j", ["no"], [("no",)], 6),
+            ("k", [], [], 7),
+        ],
         ARTIST_PROFILES,
     )
     dim = prepare.artist_dim(plays, artists, profiles)
