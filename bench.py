@@ -25,7 +25,7 @@ def _seconds(spark, build, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     chosen = sys.argv[1:] or list(QUERIES)
     spark = session(
         app="bench",

@@ -64,23 +64,19 @@ def union_by_name(*tables: DataFrame) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
 
 
-def write_plays(
-    plays: DataFrame, path: str, mode: str = "error", partitions: int | None = None
-) -> None:
+def write_plays(plays: DataFrame, path: str, mode: str = "error") -> None:
     """Store plays as Parquet, one folder per month, clustered by user and time.
 
     A folder per user would mean millions of small folders and one giant. Month
-    folders stay few, range partitioning on (month, user, time) splits a user of
-    any size over many files, and sorted files let a user filter skip row groups.
+    folders stay few. Rows are shuffled once by month and user into tasks of the
+    session's advisory size, whatever the number of shuffle partitions: adaptive
+    execution joins small ones and splits those a busy user fills. Sorted files let a
+    user filter skip row groups.
     """
-    keys = [MONTH, "username", "time"]
     stamped = plays.withColumn(MONTH, F.trunc(F.col("time").cast("date"), "month"))
-    ranged = (
-        stamped.repartitionByRange(*keys)
-        if partitions is None
-        else stamped.repartitionByRange(partitions, *keys)
-    )
-    ranged.sortWithinPartitions(*keys).write.mode(mode).partitionBy(MONTH).parquet(path)
+    sized = stamped.hint("rebalance", F.col(MONTH), F.col("username"))
+    clustered = sized.sortWithinPartitions(MONTH, "username", "time")
+    clustered.write.mode(mode).partitionBy(MONTH).parquet(path)
 
 
 def read_plays(

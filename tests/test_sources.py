@@ -82,15 +82,32 @@ def test_calendar_includes_both_ends(spark, make_plays):
     assert [r.date.day for r in days_spanned(plays).collect()] == [5, 6, 7]
 
 
-def test_stored_plays_split_a_big_user_and_prune_months(spark, make_plays, tmp_path, rows):
+def test_storing_splits_a_big_user(spark, tmp_path):
+    path = str(tmp_path / "plays")
+    plays = spark.range(0, 60000, 1, 6).selectExpr(
+        "TIMESTAMP_NTZ '2024-03-05 00:00:00' + make_dt_interval(0, 0, 0, id) AS time",
+        "IF(id % 3 = 0, 'u' || id, 'ann') AS username",
+        "sha2(CAST(id AS STRING), 256) AS track_name",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        write_plays(plays, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert read_plays(spark, path).count() == 60000
+    files = [str(p) for p in Path(path).glob("play_month=2024-03-01/*.parquet")]
+    of_ann = [spark.read.parquet(f).filter("username = 'ann'").count() for f in files]
+    assert max(of_ann) < 20000
+
+
+def test_stored_plays_come_back_and_prune_months(spark, make_plays, tmp_path, rows):
     big = [{"time": f"2024-03-{d:02d} 10:00:00", "username": "ann"} for d in range(1, 29)]
     small = [{"time": "2024-04-01 10:00:00", "username": "bob"}, {"time": "2024-05-01 10:00:00"}]
     plays = make_plays(*big, *small)
     path = str(tmp_path / "plays")
-    write_plays(plays, path, partitions=8)
+    write_plays(plays, path)
     months = sorted(p.name for p in Path(path).glob("play_month=*"))
     assert months == [f"play_month=2024-{m}-01" for m in ("03", "04", "05")]
-    assert len(list(Path(path).glob("play_month=2024-03-01/*.parquet"))) > 1
     stored = read_plays(spark, path)
     assert sorted(rows(stored), key=repr) == sorted(rows(plays.select(stored.columns)), key=repr)
     some = read_plays(spark, path, since=date(2024, 3, 20), before=date(2024, 5, 1))
