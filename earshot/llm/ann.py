@@ -126,7 +126,7 @@ def _rerank(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, every: int = 50, k: int = 5, centroids: int = 16, share: float = 0.35, least: int = 200, fit_rows: int = 4000, block: int = 1000) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 50, k: int = 5, centroids: int = 32, share: float = 0.5, least: int = 200, fit_rows: int = 4000, block: int = 1000) -> DataFrame:
     """query_id, rank, vec_id, score for the queries, the ids divisible by `every`."""
     rows = usable(vectors)
     sample = rows.orderBy(F.xxhash64("vec_id")).limit(fit_rows).toPandas()
@@ -135,6 +135,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, centroids: int = 16
         return rows.sparkSession.createDataFrame([], schema)
     x = _unit(np.stack(sample["vector"].to_numpy()))
     half = x.shape[1] // 2
+    centroids = max(1, min(centroids, len(x) // 32))
     one, two = kmeans(x[:, :half], centroids), kmeans(x[:, half:], centroids)
     entries = stored(rows.mapInPandas(_cells(one, two), "vec_id long, vector array<double>, cell int"))
     counted = entries.groupBy("cell").count().toPandas()

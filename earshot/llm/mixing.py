@@ -30,17 +30,18 @@ from pyspark.sql.window import Window
 from .common import stored, words
 
 
-def targets(sizes: dict, weights: tuple[float, ...] = (5, 2, 1), max_repeats: int = 3) -> dict:
-    """A target per source: shares of the total by weight, none above `max_repeats` times
-    its source's size; what is over is shared again by weight among the others."""
+def targets(sizes: dict, weights: tuple[float, ...] = (5, 2, 1), max_repeats: int = 3, total: int | None = None) -> dict:
+    """A target per source: shares of the total (of all documents, which is the sum of the
+    sizes unless sources overlap) by weight, none above `max_repeats` times its source's
+    size; what is over is shared again by weight among the others."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = dict(zip(names, cycle(weights), strict=False))
-    out, left, free = {}, float(sum(sizes.values())), list(names)
+    out, left, free = {}, float(sum(sizes.values()) if total is None else total), list(names)
     while free:
-        total = sum(weight[s] for s in free)
-        full = [s for s in free if left * weight[s] / total > max_repeats * sizes[s]]
+        of = sum(weight[s] for s in free)
+        full = [s for s in free if left * weight[s] / of > max_repeats * sizes[s]]
         if not full:
-            out |= {s: left * weight[s] / total for s in free}
+            out |= {s: left * weight[s] / of for s in free}
             break
         for s in full:
             out[s] = float(max_repeats * sizes[s])
@@ -120,7 +121,7 @@ def mix(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeats: i
         supply[names], names_of[names] = int(row["size"] or 0), row["pattern"]
         for s in names:
             sizes[s] += supply[names]
-    wanted = targets(dict(sizes), weights, max_repeats)
+    wanted = targets(dict(sizes), weights, max_repeats, sum(n for names, n in supply.items() if names))
     flow = min_cost_flow(supply, {s: round(t) for s, t in wanted.items()}, max_repeats)
     rows = []
     for names, size in supply.items():

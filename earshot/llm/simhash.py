@@ -61,7 +61,7 @@ def _spanning(a: np.ndarray, b: np.ndarray, radius: int, block: int = 256) -> np
     """Edges of a spanning forest of the links between two tiles (or within one)."""
     us, vs = [], []
     for at in range(0, len(a), block):
-        i, j = np.nonzero(np.bitwise_count(a[at : at + block, None] ^ b[None, :]) <= radius)
+        i, j = np.nonzero(np.bitwise_count((a[at : at + block, None] ^ b[None, :]).view(np.uint64)) <= radius)
         us.append(i + at)
         vs.append(j)
     u, v = np.concatenate(us), np.concatenate(vs)
@@ -98,7 +98,7 @@ def links(fingerprints: DataFrame, radius: int = 2, segments: int = 4, tile: int
     """A spanning set of links (a, b) between distinct fingerprints (column `fp`)."""
     width = 64 // segments
     code = 1 + width + 2 * radius  # a place value with room for neighbours out of range
-    counts = [F.bit_count(F.shiftrightunsigned("fp", width * i).bitwiseAND(F.lit((1 << width) - 1))) for i in range(segments)]
+    counts = [F.bit_count(F.shiftrightunsigned("fp", width * i).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))) for i in range(segments)]
     profile = sum(((c.cast("long") + radius) * F.lit(code**i) for i, c in enumerate(counts)), F.lit(0).cast("long"))
     known = fingerprints.select("fp", profile.alias("profile"))
     sizes = known.groupBy("profile").agg(F.ceil(F.count("*") / tile).alias("n_tiles"))
