@@ -126,7 +126,7 @@ def _rerank(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, every: int = 50, k: int = 5, centroids: int = 32, share: float = 0.5, least: int = 200, fit_rows: int = 4000, block: int = 1000) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 50, k: int = 5, centroids: int = 32, share: float = 0.5, least: int = 1000, fit_rows: int = 4000, block: int = 1000) -> DataFrame:
     """query_id, rank, vec_id, score for the queries, the ids divisible by `every`."""
     rows = usable(vectors)
     sample = rows.orderBy(F.xxhash64("vec_id")).limit(fit_rows).toPandas()
