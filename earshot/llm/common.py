@@ -44,6 +44,14 @@ def stored(frame: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Deletes a stored table that nothing will read again."""
+    spark = frame.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def words(text: Column) -> Column:
     """The maximal runs of anything but ASCII white space, in order; null has none."""
     spaced = F.translate(F.coalesce(text, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1))

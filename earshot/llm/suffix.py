@@ -17,9 +17,10 @@ context they span. (Triggers by a modulus leave strings without any.)
 * Dictionary suffixes: where one trigger has several contexts, the strings of the first
   phrase of each are put into classes of equal strings, as neighbours in the dictionary's
   suffix array are, and each class takes its first place in corpus order; later ones are
-  repeats. Most of these strings are still alone. So runs of eight strings are compared
-  first by the bytes that all eight have in common, and only runs that share those with
-  another phrase's run are taken apart.
+  repeats. Most of these strings are still alone, and most others have neighbours that
+  are equal, too. So runs of eight strings come first: of equal runs all but the first
+  are repeats as a whole, and only runs that have the bytes common to their eight strings
+  in common with a different run are taken apart.
 
 One suffix array of everything would need one task; classes by hash shuffle instead, and
 give the order relation that is needed, the first place. Hashes have 64 bits within one
@@ -42,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 GRAM = 32
 BLOCK = 1 << 22
@@ -136,11 +137,11 @@ def _own(places, version: int) -> list[tuple[int, int, int]]:
 
 def _runs(length: int, run_of: int = 8):
     """The runs of strings of the given phrases, aligned to the trigger, hashed by the
-    bytes that all strings of a full run have in common."""
+    bytes that all strings of a full run have in common, and by all their bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            core, docs, out = [], [], []
+            core, whole, docs, out = [], [], [], []
             for doc, text, places in zip(rows["doc"].tolist(), rows["text"], rows["places"], strict=True):
                 data = _bytes(text)
                 version, digest = _version(data), xxhash.xxh3_64_intdigest
@@ -151,10 +152,12 @@ def _runs(length: int, run_of: int = 8):
                         last = min(first + n - 1, trigger - q * run_of)
                         start = trigger - q * run_of
                         core.append(digest(data[start : start + length - run_of + 1], q))
+                        whole.append(digest(data[s : last + length], trigger - s))
                         docs.append(doc)
                         out.append(s << 32 | version << 15 | (last - s + 1) << 7)
                         s = last + 1
-            yield pd.DataFrame({"core": np.array(core, np.uint64).view(np.int64), "doc": np.array(docs, np.int64), "place": np.array(out, np.int64)})
+            hashes = np.array([core, whole], np.uint64).view(np.int64)
+            yield pd.DataFrame({"core": hashes[0], "whole": hashes[1], "doc": np.array(docs, np.int64), "place": np.array(out, np.int64)})
 
     return run
 
@@ -216,24 +219,49 @@ def _finish(length: int, texts: bool):
     return run
 
 
+def _later(rows: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of each key but those at its first place in corpus order."""
+    return rows.join(firsts, keys).where("doc <> first.doc or (place >> 32) <> (first.place >> 32)").select("doc", "place")
+
+
+def _of_several(firsts: DataFrame, key: str) -> DataFrame:
+    """First places of what shares its key with something else."""
+    several = firsts.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key)
+    return firsts.join(several, key).select("first.*")
+
+
+def _by_document(places: DataFrame) -> DataFrame:
+    return places.groupBy("doc").agg(F.collect_list("place").alias("places"))
+
+
 def without_repeats(docs: DataFrame, length: int = 100, texts: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans and kept_sha256, or with
     `texts` the kept text (cut characters dropped)."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
     triggers = rows.mapInPandas(_parse(length, False), "trigger long").groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger")
     parsed = rows.mapInPandas(_parse(length, True), "trigger long, context long, doc long, place long")
+    # Phrases.
     again = stored(parsed.join(triggers, "trigger"))
     firsts = stored(again.groupBy("trigger", "context").agg(F.min(F.struct("doc", "place")).alias("first")))
-    repeats = again.join(firsts, ["trigger", "context"]).where("doc <> first.doc or (place >> 32) <> (first.place >> 32)").select("doc", "place")
-    several = firsts.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger")
-    open_phrases = firsts.join(several, "trigger").select("first.*").groupBy("doc").agg(F.collect_list("place").alias("places"))
-    cores = stored(rows.join(stored(open_phrases), "doc").select("doc", "text", "places").mapInPandas(_runs(length), "core long, doc long, place long"))
-    shared = cores.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
-    open_runs = cores.join(shared, "core").groupBy("doc").agg(F.collect_list("place").alias("places"))
-    strings = stored(rows.join(stored(open_runs), "doc").select("doc", "text", "places").mapInPandas(_strings(length), "h1 long, h2 long, doc long, place long"))
+    repeats = stored(_later(again, firsts, ["trigger", "context"]))
+    discard(again)
+    open_phrases = stored(_by_document(_of_several(firsts, "trigger")))
+    discard(firsts)
+    # Runs of strings.
+    cut = rows.join(open_phrases, "doc").select("doc", "text", "places")
+    pieces = stored(cut.mapInPandas(_runs(length), "core long, whole long, doc long, place long"))
+    firsts = stored(pieces.groupBy("core", "whole").agg(F.min(F.struct("doc", "place")).alias("first")))
+    repeats = repeats.unionAll(stored(_later(pieces, firsts, ["core", "whole"])))
+    discard(pieces)
+    open_runs = stored(_by_document(_of_several(firsts, "core")))
+    discard(firsts)
+    # Strings.
+    cut = rows.join(open_runs, "doc").select("doc", "text", "places")
+    strings = stored(cut.mapInPandas(_strings(length), "h1 long, h2 long, doc long, place long"))
     classes = strings.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first")
-    later = strings.join(classes, ["h1", "h2"]).where("doc <> first.doc or (place >> 32) <> (first.place >> 32)").select("doc", "place")
-    runs = repeats.unionAll(later).groupBy("doc").agg(F.collect_list("place").alias("places"))
+    repeats = repeats.unionAll(stored(_later(strings, classes, ["h1", "h2"])))
+    discard(strings)
+    runs = _by_document(repeats)
     return rows.join(stored(runs), "doc", "left").select("doc", "text", "places").mapInPandas(
         _finish(length, texts), f"doc_id long, n_bytes long, n_removed long, n_spans long, {'kept_text' if texts else 'kept_sha256'} string"
     )
