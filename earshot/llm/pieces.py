@@ -37,6 +37,8 @@ SPACE = "▁"
 #: more. Line ends, which no piece of several characters holds, stand alone.
 WORD = f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+"
 LONGEST = 60
+#: Documents whose ids a task holds at once.
+ROWS = 500
 
 
 @dataclass(frozen=True)
@@ -219,7 +221,7 @@ def frequent_words(docs: DataFrame, n: int) -> DataFrame:
     return counted.where(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(n).select("word")
 
 
-def _texts_to_ids(vocabulary: Vocabulary, known: dict[str, bytes], cache: int = 300_000):
+def _texts_to_ids(vocabulary: Vocabulary, known: dict[str, bytes], cache: int = 100_000):
     """A function from a text to its ids as bytes; rare words are kept until `cache`."""
     find, local = re.compile(WORD).findall, {}
 
@@ -237,13 +239,13 @@ def _texts_to_ids(vocabulary: Vocabulary, known: dict[str, bytes], cache: int =
     return encode
 
 
-def dictionary(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000) -> dict[str, bytes]:
+def dictionary(docs: DataFrame, vocabulary: Vocabulary, size: int = 100_000) -> dict[str, bytes]:
     """The frequent words' ids, at most `size` of them, for every task."""
-    found = encoded_words(stored(frequent_words(docs, size)), vocabulary).toPandas()
+    found = encoded_words(stored(frequent_words(docs, size).repartition("word")), vocabulary).toPandas()
     return {w: np.asarray(ids, np.uint32).tobytes() for w, ids in zip(found["word"], found["ids"], strict=True)}
 
 
-def encoder(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000):
+def encoder(docs: DataFrame, vocabulary: Vocabulary, size: int = 100_000):
     """A column function from text to ids, with the frequent words of `docs` ready."""
     known = docs.sparkSession.sparkContext.broadcast((vocabulary, dictionary(docs, vocabulary, size)))
 
@@ -251,12 +253,13 @@ def encoder(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000):
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode_text = _texts_to_ids(*known.value)
         for texts in batches:
-            yield pd.Series([np.frombuffer(encode_text(t), np.int32) for t in texts], dtype=object)
+            for at in range(0, len(texts), ROWS):
+                yield pd.Series([np.frombuffer(encode_text(t), np.int32) for t in texts[at : at + ROWS]], dtype=object)
 
     return encode
 
 
-def encoded(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000) -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: Vocabulary, size: int = 100_000) -> DataFrame:
     """`docs` with `ids` in place of `text`."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "ids")]
     return docs.select(*rest, encoder(docs, vocabulary, size)(F.col("text")).alias("ids"))
@@ -290,7 +293,7 @@ def decoded(frame: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return frame.select(*rest, decoder(vocabulary)(F.col("ids")).alias("text"))
 
 
-def checked(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000) -> DataFrame:
+def checked(docs: DataFrame, vocabulary: Vocabulary, size: int = 100_000) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256 (of the ids as little-endian
     32-bit numbers) and round_trip, whether decoding gives the text again (U+2581 reads
     back as a space, as spaces are written with it)."""
@@ -299,7 +302,7 @@ def checked(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000) -> Dat
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         voc, words, table = known.value
         encode = _texts_to_ids(voc, words)
-        for rows in batches:
+        for rows in (batch[at : at + ROWS] for batch in batches for at in range(0, len(batch), ROWS)):
             texts = [t or "" for t in rows["text"]]
             ids = [encode(t) for t in texts]
             yield pd.DataFrame(
