@@ -21,6 +21,7 @@ operators that take documents, under their names.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -162,16 +163,16 @@ def fold_word(word: str, vocabulary: Vocabulary) -> list[int]:
             end = best[end][2]
         parts.reverse()
     elif len(word) <= 200:
-        parts = list(word)
-        while len(parts) > 1:
-            top, at = None, -1
-            for i in range(len(parts) - 1):
-                found = pieces.get(parts[i] + parts[i + 1])
-                if found and (top is None or found[1] > top):
-                    top, at = found[1], i
-            if at < 0:
-                break
+        parts, none = list(word), (0, -math.inf)
+        scores = [pieces.get(a + b, none)[1] for a, b in zip(word, word[1:], strict=False)]
+        while scores and (top := max(scores)) > -math.inf:
+            at = scores.index(top)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = pieces.get(parts[at - 1] + parts[at], none)[1]
+            if at < len(scores):
+                scores[at] = pieces.get(parts[at] + parts[at + 1], none)[1]
     else:
         parts = _merge_long(word, pieces)
     out = []
@@ -221,7 +222,7 @@ def frequent_words(docs: DataFrame, n: int) -> DataFrame:
     return counted.where(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(n).select("word")
 
 
-def _texts_to_ids(vocabulary: Vocabulary, known: dict[str, bytes], cache: int = 100_000):
+def _texts_to_ids(vocabulary: Vocabulary, known: dict[str, bytes], cache: int = 200_000):
     """A function from a text to its ids as bytes; rare words are kept until `cache`."""
     find, local = re.compile(WORD).findall, {}
 
@@ -239,13 +240,13 @@ def _texts_to_ids(vocabulary: Vocabulary, known: dict[str, bytes], cache: int =
     return encode
 
 
-def dictionary(docs: DataFrame, vocabulary: Vocabulary, size: int = 100_000) -> dict[str, bytes]:
+def dictionary(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000) -> dict[str, bytes]:
     """The frequent words' ids, at most `size` of them, for every task."""
     found = encoded_words(stored(frequent_words(docs, size).repartition("word")), vocabulary).toPandas()
     return {w: np.asarray(ids, np.uint32).tobytes() for w, ids in zip(found["word"], found["ids"], strict=True)}
 
 
-def encoder(docs: DataFrame, vocabulary: Vocabulary, size: int = 100_000):
+def encoder(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000):
     """A column function from text to ids, with the frequent words of `docs` ready."""
     known = docs.sparkSession.sparkContext.broadcast((vocabulary, dictionary(docs, vocabulary, size)))
 
@@ -259,7 +260,7 @@ def encoder(docs: DataFrame, vocabulary: Vocabulary, size: int = 100_000):
     return encode
 
 
-def encoded(docs: DataFrame, vocabulary: Vocabulary, size: int = 100_000) -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000) -> DataFrame:
     """`docs` with `ids` in place of `text`."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "ids")]
     return docs.select(*rest, encoder(docs, vocabulary, size)(F.col("text")).alias("ids"))
@@ -293,7 +294,7 @@ def decoded(frame: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return frame.select(*rest, decoder(vocabulary)(F.col("ids")).alias("text"))
 
 
-def checked(docs: DataFrame, vocabulary: Vocabulary, size: int = 100_000) -> DataFrame:
+def checked(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256 (of the ids as little-endian
     32-bit numbers) and round_trip, whether decoding gives the text again (U+2581 reads
     back as a space, as spaces are written with it)."""
