@@ -25,7 +25,7 @@ def first_per_key(
     but its own first row per key before the shuffle, so a key with a third of the
     rows sends one row per task.
     """
-    order = list(order_by or file_order(df))
+    order = list(file_order(df) if order_by is None else order_by)
     rest = [name for name in df.columns if name not in order and name not in keys]
     window = Window.partitionBy(*keys).orderBy(*[asc(name) for name in order + rest])
     position = F.row_number().over(window)

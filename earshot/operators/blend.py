@@ -84,16 +84,24 @@ def mutual_items(
 ) -> DataFrame:
     """Items that each of the named users played more than `threshold` times.
 
-    One column of plays per user, `n_<user>`, and their sum `total`.
+    One column of plays per user, `n_<user>`, and their sum `total`. Users whose names
+    differ only in case can't both have a column; use `mutual_items_of_everyone`.
     """
-    counts = {f"n_{user}": F.count_if(F.col("username") == user) for user in users}
-    enough = reduce(and_, [F.col(name) > threshold for name in counts])
+    if len({user.lower() for user in users}) < len(users):
+        raise ValueError(f"user names must differ in more than case: {sorted(users)}")
+    # Counted by position, as a name may hold dots or backticks.
+    counts = [F.count_if(F.col("username") == user).alias(f"_{i}") for i, user in enumerate(users)]
+    places = [F.col(f"_{i}") for i in range(len(users))]
     return (
         plays.filter(F.col("username").isin(list(users)))
         .groupBy(*keys)
-        .agg(*[count.alias(name) for name, count in counts.items()])
-        .filter(enough)
-        .withColumn("total", reduce(add, [F.col(name) for name in counts]))
+        .agg(*counts)
+        .filter(reduce(and_, [place > threshold for place in places]))
+        .select(
+            *keys,
+            *[place.alias(f"n_{user}") for place, user in zip(places, users)],
+            reduce(add, places).alias("total"),
+        )
     )
 
 

@@ -12,7 +12,6 @@ from earshot.functions.columns import MS_PER_MINUTE
 from earshot.schema import RADAR_FEATURES
 
 DEFAULT_IMAGE = "default_value"
-PLAYLIST_SIZES = (10, 50)
 
 
 def feature_profile(plays: DataFrame, popularity: str | None = None) -> DataFrame:
@@ -39,12 +38,7 @@ def compatibility_profile(profile: DataFrame, left: str, right: str) -> DataFram
     )
 
 
-def shared_artists(plays: DataFrame, left: str, right: str, n: int = 100) -> DataFrame:
-    """Artists in both persons' top `n`, with time, points and score.
-
-    Points are an artist's share in percent of the time its person gave to the whole
-    top `n`; the score is the higher of the two.
-    """
+def _shared(plays: DataFrame, left: str, right: str, n: int) -> DataFrame:
     per_artist = (
         plays.filter(F.col("username").isin(left, right))
         .groupBy("username", "artist_name")
@@ -78,22 +72,35 @@ def shared_artists(plays: DataFrame, left: str, right: str, n: int = 100) -> Dat
         )
         .dropna()
         .withColumn("score", F.greatest("points_left", "points_right"))
-        .orderBy(desc("time_left"), asc("artist_name"))
     )
 
 
+def shared_artists(plays: DataFrame, left: str, right: str, n: int = 100) -> DataFrame:
+    """Artists in both persons' top `n`, with time, points and score.
+
+    Points are an artist's share in percent of the time its person gave to the whole
+    top `n`; the score is the higher of the two. Each task sends on its own first `n`
+    artists of a person while `n` is at most Spark's limit for that
+    (`spark.sql.optimizer.windowGroupLimitThreshold`, 1,000); for a larger `n` all
+    artists of a person meet in one task.
+    """
+    return _shared(plays, left, right, n).orderBy(desc("time_left"), asc("artist_name"))
+
+
 def compatibility_score(plays: DataFrame, left: str, right: str, n: int = 100) -> DataFrame:
     """One row: the summed score as a whole number and how many artists are shared."""
     total = F.coalesce(whole(F.sum("score")), F.lit(0.0)).cast("bigint")
-    return shared_artists(plays, left, right, n).agg(
+    return _shared(plays, left, right, n).agg(
         total.alias("total_score"), F.count(F.lit(1)).alias("mutual_artists")
     )
 
 
-def compatibility_artists(plays: DataFrame, left: str, right: str, n: int = 100) -> DataFrame:
-    """The three shared artists the left person listened to longest."""
-    shared = shared_artists(plays, left, right, n).select("artist_name", "time_left")
-    return top_n(shared, 3, desc("time_left"), asc("artist_name"))
+def compatibility_artists(
+    plays: DataFrame, left: str, right: str, n: int = 100, first: int = 3
+) -> DataFrame:
+    """The `first` shared artists the left person listened to longest."""
+    shared = _shared(plays, left, right, n).select("artist_name", "time_left")
+    return top_n(shared, first, desc("time_left"), asc("artist_name"))
 
 
 def personal_playlist(plays: DataFrame) -> DataFrame:
@@ -111,9 +118,6 @@ def personal_playlist(plays: DataFrame) -> DataFrame:
 
 def group_playlist(playlist: DataFrame, persons: Sequence[str], n: int = 15) -> DataFrame:
     """Tracks for several persons: most persons first, then mean plays and minutes."""
-    smallest, largest = PLAYLIST_SIZES
-    if not smallest <= n <= largest:
-        raise ValueError(f"a playlist has {smallest} to {largest} tracks, not {n}")
     joint = (
         playlist.filter(F.col("who").isin(list(persons)))
         .groupBy("artist_name", "track_name")

@@ -10,45 +10,89 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GRID_POINTS = 512
-# Bins per doubling of 1 + |value|. A double has at most 1024 doublings on either
-# side of zero, so there are never more than two million bins; values up to 1000
-# make ten thousand.
-_BINS_PER_DOUBLING = 1024
+# A double's sign, exponent and first bits of its fraction make its bin: relative width
+# 1/256, zero alone, and at most 2 x 2048 x 256 bins whatever the values are.
+_BINS_PER_DOUBLING = 256
+# Slices of a bin that holds a wanted rank; and once more of the slices hit.
+_SLICES = 4096
 
 
 def value_counts(values: DataFrame, column: str) -> DataFrame:
-    """Distinct present values `v` and how often each occurs, `n`."""
-    present = values.select(F.col(column).cast("double").alias("v")).dropna()
-    return present.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    """Distinct finite values `v` and how often each occurs, `n`."""
+    present = values.select(F.col(column).cast("double").alias("v"))
+    return present.filter("abs(v) < double('infinity')").groupBy("v").agg(
+        F.count(F.lit(1)).alias("n")
+    )
 
 
 def _binned(pairs: DataFrame) -> DataFrame:
     """Pairs with a bin that rises with the value, and their distance from its edge.
 
-    The bin follows from the value alone, so no pass for the range comes first. It is
-    declared present, or the join on it would filter one use of the pairs and
-    compute them anew.
+    Bins are relative to the value's size, so values that crowd near zero fall into as
+    many bins as others. The bin follows from the value alone, so no pass for the range
+    comes first. It is declared present, or the join on it would filter one use of the
+    pairs and compute them anew.
     """
     rate = _BINS_PER_DOUBLING
-    bin_of = f"CAST(signum(v) * floor(log2(1 + abs(v)) * {rate}) AS BIGINT)"
-    return pairs.selectExpr("v", "n", f"coalesce({bin_of}, 0L) AS bin").selectExpr(
-        "*", f"signum(bin) * (pow(2D, abs(bin) / {rate}D) - 1) AS edge"
+    # Doublings are counted from the smallest double, so all non-zero bins have a sign.
+    bin_of = f"CAST(signum(v) * (1 + floor((log2(abs(v)) + 1075) * {rate})) AS BIGINT)"
+    edge = f"signum(bin) * pow(2D, (abs(bin) - 1) / {rate}D - 1075)"
+    return pairs.selectExpr("v", "n", f"IF(v = 0, 0L, coalesce({bin_of}, 0L)) AS bin").selectExpr(
+        "*", f"IF(bin = 0, 0D, {edge}) AS edge"
+    )
+
+
+# Each quartile lies between two neighbouring ranks; past the last rank the neighbour
+# has no weight, so the last one stands in.
+_LOW, _HIGH = "(total - 1) * 0.25D", "(total - 1) * 0.75D"
+_RANKS = [
+    f"least(floor({rank}) + {step}, total - 1)" for rank in (_LOW, _HIGH) for step in (0, 1)
+]
+_HIT = " OR ".join(f"(before <= {r} AND {r} < before + inside)" for r in _RANKS)
+
+
+def _sliced(rows: DataFrame, hit: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of the groups hit with a finer group, and the finer groups hit.
+
+    A group is cut by its own range into equal slices, and only slices that hold a
+    wanted rank go on, so a crowded group is spread before anything is ranked. `rows`
+    has v, n and `part`; `hit` has part, before, total, and the range lo to hi.
+    """
+    facts = hit.selectExpr("part", "before AS outer_before", "total", "lo", "hi")
+    place = f"CAST(least(floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * {_SLICES}), {_SLICES - 1}) AS INT)"
+    fine = rows.join(F.broadcast(facts), "part").selectExpr(
+        "part AS outer_part", "v", "n", "outer_before", "total", f"IF(hi > lo, {place}, 0) AS slice"
+    )
+    # At most four groups of a bounded number of slices are in these windows.
+    sums = fine.groupBy("outer_part", "slice").agg(
+        F.expr("sum(n)").alias("inside"),
+        F.expr("min(v)").alias("lo"),
+        F.expr("max(v)").alias("hi"),
+        F.expr("min(outer_before)").alias("outer_before"),
+        F.expr("min(total)").alias("total"),
+    )
+    before = "outer_before + sum(inside) OVER (PARTITION BY outer_part ORDER BY slice) - inside"
+    found = sums.selectExpr("*", f"{before} AS before").filter(_HIT)
+    key = "struct(outer_part, slice) AS part"
+    return fine.selectExpr(key, "v", "n"), found.selectExpr(
+        key, "before", "inside", "total", "lo", "hi"
     )
 
 
 def summary(pairs: DataFrame) -> DataFrame:
     """One row: `lo`, `hi`, `total`, `sd` and the interpolated quartiles `q1`, `q3`.
 
-    Exact without ranking all values in one task: the pairs are counted into bins,
-    and only the at most four bins that hold a wanted rank are ranked inside. Squared
-    deviations are summed around each bin's edge and then moved to the mean.
+    Exact without ranking all values in one task: the pairs are counted into bins, the
+    at most four bins that hold a wanted rank into slices, those again, and only what
+    is left is ranked. Squared deviations are summed around each bin's edge and then
+    moved to the mean.
     """
     binned = _binned(pairs)
     # Windows over everything see bins only, whose number is bounded.
     bins = (
         binned.groupBy("bin", "edge")
         .agg(
-            F.expr("sum(n)").alias("in_bin"),
+            F.expr("sum(n)").alias("inside"),
             F.expr("sum(n * (v - edge))").alias("s1"),
             F.expr("sum(n * pow(v - edge, 2))").alias("s2"),
             F.expr("min(v)").alias("lo"),
@@ -56,50 +100,54 @@ def summary(pairs: DataFrame) -> DataFrame:
         )
         .selectExpr(
             "bin",
-            "in_bin",
+            "inside",
             "s1",
             "s2",
             "edge",
-            "sum(in_bin) OVER (ORDER BY bin) - in_bin AS before",
-            "sum(in_bin) OVER () AS total",
-            "sum(in_bin * edge + s1) OVER () / sum(in_bin) OVER () AS mean",
-            "min(lo) OVER () AS lo",
-            "max(hi) OVER () AS hi",
+            "lo",
+            "hi",
+            "sum(inside) OVER (ORDER BY bin) - inside AS before",
+            "sum(inside) OVER () AS total",
+            "sum(inside * edge + s1) OVER () / sum(inside) OVER () AS mean",
+            "min(lo) OVER () AS least",
+            "max(hi) OVER () AS most",
         )
         .selectExpr(
-            "bin AS hit_bin",
-            "in_bin",
+            "bin AS part",
+            "inside",
             "before",
             "total",
             "lo",
             "hi",
-            "sum(s2 + 2 * (edge - mean) * s1 + in_bin * pow(edge - mean, 2)) OVER () AS squares",
+            "least",
+            "most",
+            "sum(s2 + 2 * (edge - mean) * s1 + inside * pow(edge - mean, 2)) OVER () AS squares",
         )
+        .filter(_HIT)
     )
-    low, high = "(total - 1) * 0.25D", "(total - 1) * 0.75D"
-    # Each quartile lies between two neighbouring ranks; past the last rank the
-    # neighbour has no weight, so the last one stands in.
-    ranks = [
-        f"least(floor({rank}) + {step}, total - 1)" for rank in (low, high) for step in (0, 1)
-    ]
-    hit = bins.filter(" OR ".join(f"(before <= {r} AND {r} < before + in_bin)" for r in ranks))
-    ranked = (
-        binned.select("v", "n", "bin")
-        .join(F.broadcast(hit), F.col("bin") == F.col("hit_bin"))
-        .selectExpr("*", "before + sum(n) OVER (PARTITION BY bin ORDER BY v) - n AS start")
+    rows, hit = _sliced(binned.selectExpr("v", "n", "bin AS part"), bins)
+    rows, hit = _sliced(rows, hit)
+    facts = bins.selectExpr("struct(least, most, total, squares) AS f").limit(1).scalar()
+    ranked = rows.join(F.broadcast(hit.select("part", "before", "total")), "part").selectExpr(
+        "*", "before + sum(n) OVER (PARTITION BY part ORDER BY v) - n AS start"
     )
     values = [
         f"max(IF(start <= {r} AND {r} < start + n, v, NULL)) AS x{i}"
-        for i, r in enumerate(ranks)
+        for i, r in enumerate(_RANKS)
     ]
-    whole = [f"max({name}) AS {name}" for name in ("lo", "hi", "total", "squares")]
-    return ranked.agg(*map(F.expr, whole + values)).selectExpr(
-        "lo",
-        "hi",
-        "total",
-        "IF(lo = hi, 0D, sqrt(greatest(squares, 0D) / nullif(total - 1, 0))) AS sd",
-        f"x0 + ({low} - floor({low})) * (x1 - x0) AS q1",
-        f"x2 + ({high} - floor({high})) * (x3 - x2) AS q3",
+    return (
+        ranked.agg(*map(F.expr, values))
+        .select("*", facts.alias("f"))
+        .selectExpr("*", "f.least AS lo", "f.most AS hi", "f.total AS total", "f.squares AS squares")
+        .filter("total IS NOT NULL")
+        .selectExpr(
+            "lo",
+            "hi",
+            "total",
+            "IF(lo = hi, 0D, sqrt(greatest(squares, 0D) / nullif(total - 1, 0))) AS sd",
+            f"x0 + ({_LOW} - floor({_LOW})) * (x1 - x0) AS q1",
+            f"x2 + ({_HIGH} - floor({_HIGH})) * (x3 - x2) AS q3",
+        )
     )
 
 
@@ -119,7 +167,7 @@ def bandwidth(pairs: DataFrame) -> DataFrame:
 def density(values: DataFrame, column: str, points: int = GRID_POINTS) -> DataFrame:
     """Density of `column` at `points` equally spaced positions between its extremes.
 
-    Missing values are left out; fewer than two values give no rows. The result has
+    Missing and infinite values are left out; fewer than two values give no rows. The result has
     the position's number `point`, its place `x` and the density `density`, in no
     particular order.
     """

@@ -66,13 +66,18 @@ def first_tracks(plays: DataFrame, order_by: Sequence[str] | None = None) -> Dat
     )
 
 
+def one_per_id(lookup: DataFrame, key: str) -> DataFrame:
+    """A lookup with one row per id, the least of those that repeat it."""
+    return first_per_key(lookup, [key], [])
+
+
 def track_dim(
     plays: DataFrame, track_features: DataFrame, order_by: Sequence[str] | None = None
 ) -> DataFrame:
     """Features per track name, looked up by the id of the name's first row."""
     return (
         first_tracks(plays, order_by)
-        .join(track_features, "track_id", "left")
+        .join(one_per_id(track_features, "track_id"), "track_id", "left")
         .select("track_name", *TRACK_FEATURES)
     )
 
@@ -107,10 +112,12 @@ def artist_dim(
     first = first_per_key(named, ["artist_name"], order).select(
         "artist_name", track_id().alias("track_id")
     )
-    ids = track_artists.select("track_id", F.get("artist_ids", F.lit(0)).alias("artist_id"))
+    known = one_per_id(track_artists.select("track_id", "artist_ids"), "track_id")
+    ids = known.select("track_id", F.get("artist_ids", F.lit(0)).alias("artist_id"))
+    profiles = one_per_id(artist_profiles, "artist_id")
     return (
         first.join(ids, "track_id", "left")
-        .join(first_of_list(artist_profiles), "artist_id", "left")
+        .join(first_of_list(profiles), "artist_id", "left")
         .select("artist_name", *ARTIST_ATTRIBUTES)
     )
 

@@ -133,9 +133,8 @@ def top_track_features(
     """Mean features of the top track names, each taken from its first play."""
     order = list(order_by or file_order(plays))
     names = top_track_names(plays, n).select("track_name")
-    # n rows by construction, so the broadcast cannot grow with the data.
     narrow = plays.select("track_name", *RADAR_FEATURES, *order)
-    of_top = narrow.join(F.broadcast(names), "track_name", "left_semi")
+    of_top = narrow.join(names, "track_name", "left_semi")
     return first_per_key(of_top, ["track_name"], order).agg(
         *[F.avg(name).alias(name) for name in RADAR_FEATURES]
     )

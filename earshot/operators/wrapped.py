@@ -20,6 +20,7 @@ from earshot.functions import (
     weekday_name,
     whole,
 )
+from earshot.functions.columns import months_between
 from earshot.operators.density import density
 from earshot.operators.stats import radar_frame
 from earshot.schema import RADAR_FEATURES
@@ -33,10 +34,11 @@ def _in_months(calendar: DataFrame, year: int, first: int, last: int) -> DataFra
 def weekday_average_minutes(
     plays: DataFrame, calendar: DataFrame, year: int, first: int = 1, last: int = 12
 ) -> DataFrame:
-    """Minutes per weekday divided by the number of such days.
+    """Minutes per weekday divided by the number of such days, within the months.
 
     Only weekdays of months in which something was played count as days.
     """
+    plays = plays.filter(months_between(year, first, last))
     day = F.to_date("time")
     keys = {"weekday": iso_weekday(day), "month": F.month(day), "year": F.year(day)}
     played = plays.groupBy(*[value.alias(name) for name, value in keys.items()]).agg(
@@ -64,7 +66,8 @@ def weekday_average_minutes(
 def hourly_average_minutes(
     plays: DataFrame, calendar: DataFrame, year: int, first: int = 1, last: int = 12
 ) -> DataFrame:
-    """Minutes per hour of day divided by the number of calendar days."""
+    """Minutes per hour of day divided by the number of calendar days, within the months."""
+    plays = plays.filter(months_between(year, first, last))
     days = _in_months(calendar, year, first, last).agg(F.nullif(F.count("date"), F.lit(0)))
     per_hour = plays.groupBy(F.hour("time").alias("hour")).agg(minutes().alias("minutes"))
     return per_hour.select("hour", (F.col("minutes") / days.scalar()).alias("time")).orderBy(
@@ -91,12 +94,13 @@ def first_track_lengths(songs: DataFrame, order_by: Sequence[str] | None = None)
 
 
 def artist_track_play_equivalents(
-    plays: DataFrame, track_lengths: DataFrame, artist: str | None = None, n: int = 10
+    plays: DataFrame, songs: DataFrame, artist: str | None = None, n: int = 10
 ) -> DataFrame:
     """An artist's tracks by how many full plays the listening time amounts to.
 
-    The artist is the one listened to longest unless named. A track without a known
-    length has no figure and comes last.
+    The artist is the one listened to longest unless named. A track's length is that of
+    its name's first song; only songs of the artist's track names are looked through. A
+    track without a known length has no figure and comes last.
     """
     chosen = _top_artist(plays) if artist is None else F.lit(artist)
     listened = (
@@ -106,7 +110,8 @@ def artist_track_play_equivalents(
         .dropna()
     )
     times = whole(F.col("ms") / F.col("duration_ms")).cast("bigint")
-    counted = listened.join(track_lengths, "track_name", "left").select(
+    lengths = first_track_lengths(songs.join(listened, "track_name", "left_semi"))
+    counted = listened.join(lengths, "track_name", "left").select(
         "artist_name", "track_name", times.alias("times_played")
     )
     order = [desc("times_played"), asc("artist_name"), asc("track_name")]
@@ -151,7 +156,7 @@ def feature_distribution(
         raise ValueError(f"unknown feature {feature!r}, expected one of {RADAR_FEATURES}")
     chosen = songs.filter(F.col("person") == person)
     if heard is not None:
-        names = heard.select(F.col("track_name").alias("_heard")).distinct()
+        names = heard.select(F.col("track_name").alias("_heard"))
         chosen = chosen.join(names, chosen.track_name.eqNullSafe(names._heard), "left_semi")
     complete = chosen.select(*RADAR_FEATURES).dropna()
     return density(complete.filter(F.col(feature).between(0, 1)), feature)

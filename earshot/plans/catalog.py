@@ -17,14 +17,13 @@ from earshot.plans import etl
 from earshot.schema import PLAYLIST, RADAR_FEATURES
 from earshot.sources import (
     calendar,
+    csv_lines,
+    csv_values,
     days_spanned,
     fixture,
-    read_csv_table,
-    read_json_table,
-    union_by_name,
-    write_csv,
+    json_lines,
+    json_values,
 )
-from earshot.sources.shared import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,12 +73,9 @@ def _normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def union_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Several users' exports in one scan, each row with its owner.
     export = fixture.raw_export(spark, sf_dir)
-    tables = [
-        prepare.normalise_export(export.filter(F.col("username") == user).drop("username"), user)
-        for user in fixture.USERS
-    ]
-    return union_by_name(*tables)
+    return prepare.normalise_export(export.filter(F.col("username").isin(*fixture.USERS)))
 
 
 @query
@@ -150,16 +146,22 @@ def personal_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark)
-    write_csv(personal_playlist(spark, sf_dir), path)
-    return read_csv_table(spark, path, PLAYLIST)
+    return csv_values(csv_lines(personal_playlist(spark, sf_dir)), PLAYLIST)
 
 
 @query
 def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark)
-    personal_playlist(spark, sf_dir).write.json(path)
-    return read_json_table(spark, path, PLAYLIST, lines=True)
+    return json_values(json_lines(personal_playlist(spark, sf_dir)), PLAYLIST)
+
+
+@query
+def json_array_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One array per person and artist, as a file of records is one array.
+    records = personal_playlist(spark, sf_dir)
+    grouped = records.groupBy("who", "artist_name").agg(
+        F.to_json(F.collect_list(F.struct(*records.columns))).alias("line")
+    )
+    return json_values(grouped, PLAYLIST, array=True)
 
 
 # Selections
@@ -331,8 +333,7 @@ def top_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def artist_track_play_equivalents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lengths = wrapped.first_track_lengths(fixture.songs(spark, sf_dir))
-    return wrapped.artist_track_play_equivalents(_year(spark, sf_dir), lengths)
+    return wrapped.artist_track_play_equivalents(_year(spark, sf_dir), fixture.songs(spark, sf_dir))
 
 
 @query

@@ -322,7 +322,7 @@ LEFT JOIN artist_dim a ON n.artist_name = a.artist_name
 WHERE username <> 'user_c' OR time < TIMESTAMP '2024-12-08'""",
     ),
     **dict.fromkeys(
-        ("personal_playlist", "csv_round_trip", "json_round_trip"),
+        ("personal_playlist", "csv_round_trip", "json_round_trip", "json_array_round_trip"),
         _with(_PLAYS + _PLAYLIST, "SELECT * REPLACE (round(time, 6) AS time) FROM playlist"),
     ),
     "plays": _with(_PLAYS, "SELECT * FROM plays"),

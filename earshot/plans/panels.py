@@ -67,12 +67,11 @@ def wrapped_panel(
     """A person's year, or the months `first` to `last` of it."""
     own = plays_by_months(plays, person, year, first, last)
     own_songs = songs.filter(songs.person == person)
-    lengths = wrapped.first_track_lengths(songs)
     return {
         "weekday_average": wrapped.weekday_average_minutes(own, calendar, year, first, last),
         "hourly_average": wrapped.hourly_average_minutes(own, calendar, year, first, last),
         "top_artists": wrapped.top_artists(own),
-        "artist_tracks": wrapped.artist_track_play_equivalents(own, lengths, artist),
+        "artist_tracks": wrapped.artist_track_play_equivalents(own, songs, artist),
         "artist_radar": wrapped.artist_radar(own, own_songs, artist),
         "top_tracks": wrapped.top_track_counts(own),
         "feature_distribution": wrapped.feature_distribution(songs, person, feature),

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The seven 0-1 audio features shown on radar charts and in profiles.
+# The seven 0-1 audio features shown on radar charts and in profiles. Fixed field names
+# of the lookup.
 RADAR_FEATURES = (
     "danceability",
     "energy",
@@ -15,7 +16,7 @@ RADAR_FEATURES = (
     "valence",
 )
 
-# Everything the track lookup returns, in the lookup's own order.
+# Everything the track lookup returns, in the lookup's own order. Fixed field names.
 TRACK_FEATURES = (
     "danceability",
     "energy",
@@ -30,6 +31,7 @@ TRACK_FEATURES = (
     "tempo",
 )
 
+# Fixed field names of the artist attributes.
 ARTIST_ATTRIBUTES = ("image", "genre", "followers")
 
 _FEATURE_TYPES = {"key": T.IntegerType(), "mode": T.IntegerType()}
@@ -77,17 +79,6 @@ RAW_EXPORT = T.StructType(
     ]
 )
 
-TRACK_DIM = T.StructType([_string("track_name"), *[_feature(n) for n in TRACK_FEATURES]])
-
-ARTIST_DIM = T.StructType(
-    [
-        _string("artist_name"),
-        _string("image"),
-        _string("genre"),
-        T.StructField("followers", T.LongType()),
-    ]
-)
-
 # The artist lookup before its lists are flattened.
 ARTIST_PROFILES = T.StructType(
     [
@@ -108,10 +99,6 @@ SONGS = T.StructType(
     ]
 )
 
-PROFILE = T.StructType(
-    [_string("person"), _string("feature"), T.StructField("value", T.DoubleType())]
-)
-
 PLAYLIST = T.StructType(
     [
         _string("who"),

@@ -1,6 +1,11 @@
 from earshot.sources.calendar import calendar, days_spanned
 from earshot.sources.files import (
+    csv_lines,
+    csv_values,
+    json_lines,
+    json_values,
     read_csv_table,
+    read_exports,
     read_json_table,
     read_plays,
     union_by_name,
@@ -10,8 +15,13 @@ from earshot.sources.files import (
 
 __all__ = [
     "calendar",
+    "csv_lines",
+    "csv_values",
     "days_spanned",
+    "json_lines",
+    "json_values",
     "read_csv_table",
+    "read_exports",
     "read_json_table",
     "read_plays",
     "union_by_name",

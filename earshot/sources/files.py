@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.functions.columns import day_before
+from earshot.schema import RAW_EXPORT
 
 MISSING_TEXT = "NA"
 MONTH = "play_month"
@@ -26,17 +28,47 @@ def _parsed(field: T.StructField) -> Column:
     return value.alias(field.name)
 
 
-def read_csv_table(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+# Quotes are doubled, blanks belong to the text, and a broken row is an error.
+_CSV = {
+    "escape": '"',
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def _as_text(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+
+def csv_options(multiline: bool = True) -> dict[str, str]:
+    """How CSV is read, by files and by `from_csv` alike."""
+    return {**_CSV, "mode": "FAILFAST", "multiLine": str(multiline).lower()}
+
+
+def from_text(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns to values: `NA` is missing; a blank is a missing number, but a text."""
+    return raw.select(*[_parsed(field) for field in schema.fields])
+
+
+def read_csv_table(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    multiline: bool = True,
+) -> DataFrame:
     """CSV with a header, where the text `NA` means missing.
 
     Fields are read as text in one pass without inference. In text columns `NA`
     is missing and a blank stays an empty string; in all others both are missing.
+    Text may hold line breaks, so a file is one task's work; pass `multiline=False` for
+    large files known to have none, which are then split. A row with another number of
+    fields than the header is an error.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(as_text).csv(
-        path, header=True, enforceSchema=False, escape='"', emptyValue=""
+    raw = spark.read.schema(_as_text(schema)).csv(
+        path, header=True, enforceSchema=False, **csv_options(multiline)
     )
-    return raw.select(*[_parsed(field) for field in schema.fields])
+    return from_text(raw, schema)
 
 
 def read_json_table(
@@ -49,16 +81,67 @@ def read_json_table(
     return spark.read.schema(schema).json(path, multiLine=not lines)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """CSV with a header, no row index and `NA` for missing values."""
+def read_exports(
+    spark: SparkSession, exports: Mapping[str, str], schema: T.StructType = RAW_EXPORT
+) -> DataFrame:
+    """Several users' exports, JSON arrays of records, in one scan with their `username`.
+
+    `exports` has each user's file or folder. A row belongs to the user whose path its
+    file is or lies under; of paths inside each other the longer one counts.
+    """
+    if not exports:
+        raise ValueError("no exports to read")
+    raw = spark.read.schema(schema).json(list(exports.values()), multiLine=True)
+    place = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    owner = F.lit(None).cast("string")
+    for user, path in sorted(exports.items(), key=lambda e: len(e[1])):
+        plain = path.rstrip("/")
+        plain = plain if "://" in plain or plain.startswith("file:") else f"/{plain.lstrip('/')}"
+        mine = place.endswith(plain) | F.contains(place, F.lit(f"{plain}/"))
+        owner = F.when(mine, F.lit(user)).otherwise(owner)
+    return raw.withColumn("username", owner)
+
+
+def csv_text(df: DataFrame) -> DataFrame:
+    """All values as text, as CSV files hold them."""
     # As text a timestamp keeps its fraction if it has one, and is plain otherwise.
     times = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
-    as_text = df.withColumns({name: F.col(name).cast("string") for name in times})
-    as_text.write.mode(mode).csv(
-        path, header=True, nullValue=MISSING_TEXT, emptyValue="", escape='"'
+    return df.withColumns({name: F.col(name).cast("string") for name in times})
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
+    """CSV with a header, no row index and `NA` for missing values."""
+    csv_text(df).write.mode(mode).csv(
+        path, header=True, nullValue=MISSING_TEXT, quoteAll=True, **_CSV
     )
 
 
+def csv_lines(df: DataFrame) -> DataFrame:
+    """One column `line`, a CSV record per row, in the form of `write_csv`."""
+    record = F.struct(*[F.col(name) for name in df.columns])
+    options = {**_CSV, "nullValue": MISSING_TEXT, "quoteAll": "true"}
+    return csv_text(df).select(F.to_csv(record, options).alias("line"))
+
+
+def csv_values(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of `csv_lines`, parsed as `read_csv_table` parses files."""
+    ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
+    parsed = lines.select(F.from_csv("line", F.lit(ddl), csv_options()).alias("row"))
+    return from_text(parsed.select("row.*"), schema)
+
+
+def json_lines(df: DataFrame) -> DataFrame:
+    """One column `line`, a JSON record per row."""
+    return df.select(F.to_json(F.struct(*[F.col(name) for name in df.columns])).alias("line"))
+
+
+def json_values(texts: DataFrame, schema: T.StructType, array: bool = False) -> DataFrame:
+    """Rows from the JSON text in column `line`: a record, or an array of records."""
+    if array:
+        return texts.select(F.inline(F.from_json("line", T.ArrayType(schema))))
+    return texts.select(F.from_json("line", schema).alias("row")).select("row.*")
+
+
 def union_by_name(*tables: DataFrame) -> DataFrame:
     """Stack users' tables by column name; a column one of them lacks is missing there."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)

@@ -5,14 +5,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
 from conftest import SMALL
 from earshot.functions import first_per_key
 from earshot.operators import filters, prepare, stats
 from earshot.operators.wrapped import _top_artist
+from earshot.plans import etl
+from earshot.plans.catalog import QUERIES
 from earshot.sources import read_plays, write_plays
 
-QUERIES = entry_point.queries()
 
 
 def plan_of(df):
@@ -53,8 +53,6 @@ def test_no_python_and_no_cross_join(spark, name):
 def test_only_bounded_sides_are_broadcast(unbroadcast, name):
     """Without automatic broadcasts only hinted ones are left."""
     hinted = {
-        "top_track_features",
-        "radar_frame",
         "weekday_average_minutes",
         "artist_tempo_density",
         "feature_distribution",
@@ -172,7 +170,8 @@ def _stages(spark):
 
 
 @pytest.mark.parametrize(
-    "name, scans", [("artist_tempo_density", 2), ("feature_distribution", 1)]
+    "name, scans",
+    [("artist_tempo_density", 2), ("feature_distribution", 1), ("feature_distribution_heard", 2)],
 )
 def test_density_reads_its_values_once(spark, name, scans):
     """All steps share one shuffle of (value, count) pairs; finding the artist is one more."""
@@ -183,3 +182,56 @@ def test_density_reads_its_values_once(spark, name, scans):
     assert sum(stage.inputRecords() for stage in new if stage.inputRecords() >= events) == (
         scans * events
     )
+
+
+def _jobs(spark):
+    return spark.sparkContext._jsc.sc().statusStore().jobsList(None).size()
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_building_a_query_starts_no_job(spark, name):
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = _jobs(spark)
+    QUERIES[name](spark, SMALL)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    assert _jobs(spark) == before
+
+
+def test_curated_plays_shuffle_the_plays_once(unbroadcast, sf_dir):
+    """Above the plays' own shuffle there is one on both names, and no other of plays."""
+    plan = plan_of(QUERIES["curated_plays"](unbroadcast, sf_dir))
+    both = re.findall(r"hashpartitioning\(coalesce\(track_name#\d+, \), isnull\(track_name#\d+\), coalesce\(artist_name", plan)
+    assert len(both) == 1, "\n".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_curated_plays_read_the_export_twice(unbroadcast, sf_dir):
+    events = unbroadcast.read.parquet(f"{sf_dir}/events.parquet").count()
+    before = set(_stages(unbroadcast))
+    QUERIES["curated_plays"](unbroadcast, sf_dir).write.format("noop").mode("overwrite").save()
+    new = [stage for number, stage in _stages(unbroadcast).items() if number not in before]
+    assert sum(s.inputRecords() for s in new if s.inputRecords() >= events) <= 2 * events
+
+
+def test_hot_missing_artist_is_split(unbroadcast):
+    """A third of the plays without an artist meet many tracks, so no task gets them all."""
+    spark = unbroadcast
+    raw = spark.range(0, 60000, 1, 6).select(
+        F.lit("2024-01-01T00:00:00Z").alias("ts"),
+        F.lit(1).cast("long").alias("ms_played"),
+        F.concat(F.lit("t"), F.col("id") % 3000).alias("master_metadata_track_name"),
+        F.lit("al").alias("master_metadata_album_album_name"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("a"), F.col("id") % 3000)).alias("master_metadata_album_artist_name"),
+        F.concat(F.lit("spotify:track:"), F.col("id") % 3000).alias("spotify_track_uri"),
+    )
+    ids = spark.range(3000).select(F.col("id").cast("string").alias("track_id"))
+    features = ids.select("track_id", *[F.lit(0.5).alias(n) for n in prepare.TRACK_FEATURES])
+    artists = ids.select("track_id", F.array("track_id").alias("artist_ids"))
+    profiles = ids.select(F.col("track_id").alias("artist_id"), F.array(F.lit("g")).alias("genres"), F.expr("array(named_struct('url', 'u'))").alias("images"), F.lit(1).alias("followers"))
+    frame = etl.curated_plays(raw, features, artists, profiles, "ann")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = frame.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r[1] for r in sizes) == 60000 and max(r[1] for r in sizes) < 15000
+    assert frame.where("artist_name is null and tempo = 0.5 and genre is null").count() == 20000

@@ -290,7 +290,7 @@ def test_hourly_average_divides_by_all_days_of_the_months(spark, make_plays, row
     plays = make_plays({"time": "2024-02-06 10:00:00", "ms_played": 60000 * 29})
     days = calendar(spark, date(2024, 1, 1), date(2024, 12, 31))
     assert rows(wrapped.hourly_average_minutes(plays, days, 2024, 2, 2)) == [(10, 1.0)]
-    assert rows(wrapped.hourly_average_minutes(plays, days, 2023)) == [(10, None)]
+    assert rows(wrapped.hourly_average_minutes(plays, days, 2023)) == []
 
 
 SONGS = (
@@ -320,10 +320,9 @@ def test_unknown_track_length_is_kept_and_sorted_last(spark, make_plays, rows):
         ],
         SONGS,
     )
-    lengths = wrapped.first_track_lengths(songs)
     expected = [(1, "artist", "known", 2), (2, "artist", "unknown", None)]
-    assert rows(wrapped.artist_track_play_equivalents(plays, lengths)) == expected
-    named = wrapped.artist_track_play_equivalents(plays, lengths, artist="x")
+    assert rows(wrapped.artist_track_play_equivalents(plays, songs)) == expected
+    named = wrapped.artist_track_play_equivalents(plays, songs, artist="x")
     assert rows(named) == [(1, "x", "other artist's", None)]
 
 
@@ -425,6 +424,30 @@ def test_group_playlist_prefers_tracks_of_more_people(spark, rows):
         ("x", "both", 2, 2, 1.5, "pic"),
         ("y", "one", 1, 50, 9.0, "default_value"),
     ]
-    for n in (9, 51):
-        with pytest.raises(ValueError):
-            compat.group_playlist(playlist, ["ann"], n)
+    assert compat.group_playlist(playlist, ["ann", "bob"], 1).count() == 1
+    assert compat.group_playlist(playlist, ["ann", "bob"], 51).count() == 2
+
+
+def test_mutual_items_take_any_user_name(make_plays, rows):
+    users = ["ann.b", "o`hara", "Ann"]
+    plays = make_plays(*[{"username": user, "artist_name": "a"} for user in users for _ in range(2)])
+    found = blend.mutual_items(plays, ["artist_name"], users, 1)
+    assert found.columns == ["artist_name", "n_ann.b", "n_o`hara", "n_Ann", "total"]
+    assert rows(found) == [("a", 2, 2, 2, 6)]
+    with pytest.raises(ValueError, match="case"):
+        blend.mutual_items(plays, ["artist_name"], ["Ann", "ann"], 1)
+
+
+def test_averages_look_at_their_months_only(spark, make_plays, rows):
+    inside = {"time": "2024-01-01 10:00:00", "ms_played": 31 * 60000}
+    outside = [{"time": t, "ms_played": 10**8} for t in ("2023-01-01 10:00:00", "2024-02-01 10:00:00")]
+    days = calendar(spark, date(2023, 1, 1), date(2024, 12, 31))
+    plays = make_plays(inside, *outside)
+    assert rows(wrapped.hourly_average_minutes(plays, days, 2024, 1, 1)) == [(10, 1.0)]
+    assert rows(wrapped.weekday_average_minutes(plays, days, 2024, 1, 1)) == [(1, "Monday", 6.2)]
+
+
+def test_number_of_compatibility_artists(make_plays, rows):
+    plays = make_plays(*[{"username": u, "artist_name": f"a{i}"} for u in ("ann", "bob") for i in range(5)])
+    assert [r[0] for r in rows(compat.compatibility_artists(plays, "ann", "bob", first=4))] == ["a0", "a1", "a2", "a3"]
+    assert compat.compatibility_artists(plays, "ann", "bob").count() == 3

@@ -1,5 +1,6 @@
 """Reading and writing play tables, and the preparation of raw exports."""
 
+import json
 from datetime import date, datetime
 from pathlib import Path
 
@@ -7,11 +8,17 @@ import pytest
 from pyspark.sql import types as T
 
 from earshot.operators import prepare
+from earshot.plans import etl
 from earshot.schema import ARTIST_PROFILES, PLAYLIST, PLAYS, RAW_EXPORT, TRACK_FEATURES
 from earshot.sources import (
     calendar,
+    csv_lines,
+    csv_values,
     days_spanned,
+    json_lines,
+    json_values,
     read_csv_table,
+    read_exports,
     read_json_table,
     read_plays,
     union_by_name,
@@ -55,11 +62,76 @@ def test_csv_round_trip(spark, make_plays, tmp_path, rows):
     path = str(tmp_path / "out")
     write_csv(plays, path)
     text = "".join(p.read_text() for p in sorted(Path(path).glob("*.csv")))
-    assert text.splitlines()[0] == ",".join(PLAYS.fieldNames())
+    assert text.splitlines()[0] == ",".join(f'"{name}"' for name in PLAYS.fieldNames())
     back = read_csv_table(spark, path, PLAYS)
     assert sorted(rows(back), key=repr) == sorted(rows(plays), key=repr)
 
 
+HARD = ["  lead", "trail  ", "a\nb", "a\rb", "a\r\nb", 'say "x"', "back\\slash", "\\", "#no", "", None, "a,b", "\t", '"', "'"]
+
+
+def test_csv_loses_nothing(spark, tmp_path, rows):
+    frame = spark.createDataFrame([(t, i, i / 2) for i, t in enumerate(HARD)], MIXED)
+    path = str(tmp_path / "out")
+    write_csv(frame, path)
+    assert sorted(rows(read_csv_table(spark, path, MIXED)), key=repr) == sorted(rows(frame), key=repr)
+    assert sorted(rows(csv_values(csv_lines(frame), MIXED)), key=repr) == sorted(rows(frame), key=repr)
+
+
+def test_broken_csv_row_is_an_error(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("name,n,x\na,1,0.5\nb,2\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv_table(spark, str(path), MIXED).collect()
+
+
+def test_csv_without_line_breaks_is_split(spark, tmp_path, rows):
+    path = tmp_path / "in.csv"
+    path.write_text("name,n,x\na,1,0.5\n")
+    assert rows(read_csv_table(spark, str(path), MIXED, multiline=False)) == [("a", 1, 0.5)]
+
+
+def test_json_text_forms(spark, rows):
+    expected = [("ann", None, None, 2, 1.5, None), ("bob", None, None, None, None, None)]
+    array = spark.createDataFrame([('[{"who": "ann", "count": 2, "time": 1.5}, {"who": "bob"}]',), ("[]",)], "line string")
+    assert rows(json_values(array, PLAYLIST, array=True)) == expected
+    frame = spark.createDataFrame(expected, PLAYLIST)
+    assert rows(json_values(json_lines(frame), PLAYLIST)) == expected
+
+
+def test_lookups_with_repeated_ids_do_not_multiply_plays(spark):
+    raw = _export(spark, {"master_metadata_track_name": "t", "master_metadata_album_artist_name": "a"})
+    features = _features(spark, {"track_id": "7", "tempo": 2.0}, {"track_id": "7", "tempo": 1.0})
+    artists = spark.createDataFrame([("7", ["i"]), ("7", ["i"]), ("7", ["j"])], "track_id string, artist_ids array<string>")
+    profiles = spark.createDataFrame([("i", ["b"], [], 2), ("i", ["a"], [], 1), ("j", [], [], 9)], ARTIST_PROFILES)
+    plays = etl.curated_plays(raw, features, artists, profiles, "ann").collect()
+    assert [(r.track_name, r.genre, r.followers) for r in plays] == [("t", "a", 1)]
+    assert prepare.track_dim(prepare.normalise_export(raw, "ann"), features).count() == 1
+
+
+def test_raw_files_to_stored_plays(spark, tmp_path):
+    """Two users' export files, one of them a folder, to one stored table."""
+    record = {"ms_played": 5, "spotify_track_uri": "spotify:track:7", "master_metadata_track_name": "t", "master_metadata_album_artist_name": "a"}
+    (tmp_path / "bob").mkdir()
+    files = {"ann x+1.json": ["2024-01-01T10:00:00Z"], "bob/1.json": ["2024-02-01T10:00:00Z"], "bob/2.json": ["2024-03-01T10:00:00Z", "2024-05-01T10:00:00Z"]}
+    for name, times in files.items():
+        (tmp_path / name).write_text(json.dumps([record | {"ts": t} for t in times]))
+    tables = {
+        "track_features": _features(spark, {"track_id": "7", "tempo": 2.0}),
+        "track_artists": spark.createDataFrame([("7", ["i"])], "track_id string, artist_ids array<string>"),
+        "artist_profiles": spark.createDataFrame([("i", ["b"], [], 2)], ARTIST_PROFILES),
+    }
+    for name, table in tables.items():
+        table.write.parquet(str(tmp_path / name))
+    exports = {"ann": str(tmp_path / "ann x+1.json"), "bob": str(tmp_path / "bob")}
+    lookups = {name: str(tmp_path / name) for name in tables}
+    stored = etl.store_plays(spark, exports, lookups, str(tmp_path / "plays"), {"bob": "2024-05-01"})
+    found = sorted((r.username, str(r.time), r.tempo, r.genre) for r in stored.collect())
+    assert found == [("ann", "2024-01-01 10:00:00", 2.0, "b"), ("bob", "2024-02-01 10:00:00", 2.0, "b"), ("bob", "2024-03-01 10:00:00", 2.0, "b")]
+    with pytest.raises(ValueError, match="no exports"):
+        read_exports(spark, {})
+
+
 def test_json_array_and_lines(spark, tmp_path, rows):
     array, lines = tmp_path / "array.json", tmp_path / "lines.json"
     array.write_text('[{"who": "ann", "count": 2,\n "time": 1.5}, {"who": "bob"}]')
