@@ -226,7 +226,7 @@ def _later(rows: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
 
 def _of_several(firsts: DataFrame, key: str) -> DataFrame:
     """First places of what shares its key with something else."""
-    several = firsts.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key)
+    several = stored(firsts.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key))
     return firsts.join(several, key).select("first.*")
 
 
@@ -238,7 +238,10 @@ def without_repeats(docs: DataFrame, length: int = 100, texts: bool = False) ->
     """One row per document: doc_id, n_bytes, n_removed, n_spans and kept_sha256, or with
     `texts` the kept text (cut characters dropped)."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
-    triggers = rows.mapInPandas(_parse(length, False), "trigger long").groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger")
+    # What joins a hot key is stored first: adaptive execution can't split a partition
+    # that the same stage has grouped.
+    triggers = rows.mapInPandas(_parse(length, False), "trigger long").groupBy("trigger").agg(F.count("*").alias("n"))
+    triggers = stored(triggers.where("n > 1").select("trigger"))
     parsed = rows.mapInPandas(_parse(length, True), "trigger long, context long, doc long, place long")
     # Phrases.
     again = stored(parsed.join(triggers, "trigger"))
@@ -259,7 +262,7 @@ def without_repeats(docs: DataFrame, length: int = 100, texts: bool = False) ->
     cut = rows.join(open_runs, "doc").select("doc", "text", "places")
     strings = stored(cut.mapInPandas(_strings(length), "h1 long, h2 long, doc long, place long"))
     classes = strings.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first")
-    repeats = repeats.unionAll(stored(_later(strings, classes, ["h1", "h2"])))
+    repeats = repeats.unionAll(stored(_later(strings, stored(classes), ["h1", "h2"])))
     discard(strings)
     runs = _by_document(repeats)
     return rows.join(stored(runs), "doc", "left").select("doc", "text", "places").mapInPandas(
