@@ -106,22 +106,39 @@ def _walks(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, wanted: int):
 
 
 def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Row by row, so that equal vectors get equal numbers wherever they stand."""
-    return (x * q).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
+    """Of q (one vector, or one per row) and each row of x. Row by row, so that equal
+    vectors get equal numbers wherever they stand; scaling by powers of two changes no
+    digit, and keeps very long vectors finite."""
+    x, q = _scaled(x), _scaled(q)
+    return (x * q).sum(axis=-1) / (np.sqrt((x * x).sum(axis=-1)) * np.sqrt((q * q).sum(axis=-1)))
 
 
-def _rerank(k: int):
+def _scaled(x: np.ndarray) -> np.ndarray:
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=-1, keepdims=True))[1])
+
+
+def _rerank(k: int, margin: float = 1e-9, cells: int = 1 << 22):
+    """The k nearest entries of a block for each query. A matrix product finds those
+    within rounding (`margin`) of the k-th best, and their exact cosines decide."""
+
     def run(key: tuple, entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64).astype({"score": float})]
         if len(entries) and len(queries):
             x, ids = np.stack(entries["vector"].to_numpy()), entries["vec_id"].to_numpy()
-            for query_id, q in zip(queries["query_id"], queries["query"], strict=True):
-                score = cosines(np.asarray(q), x)
-                own = ids != query_id
-                score, near = score[own], ids[own]
-                best = np.lexsort((near, -score))[:k]
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": near[best], "score": score[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            unit, step = _unit(x), max(1, cells // x.size)
+            for at in range(0, len(queries), step):
+                asked = queries["query_id"].to_numpy()[at : at + step]
+                q = np.stack(queries["query"].to_numpy()[at : at + step])
+                near = _unit(q) @ unit.T
+                near[asked[:, None] == ids] = -np.inf
+                kth = np.partition(near, -min(k, len(ids)), axis=1)[:, -min(k, len(ids))]
+                rows, found = np.nonzero(near >= np.maximum(kth - margin, -2)[:, None])
+                score = cosines(q[rows], x[found])
+                order = np.lexsort((ids[found], -score, rows))
+                rows, found, score = rows[order], found[order], score[order]
+                best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+                out.append(pd.DataFrame({"query_id": asked[rows[best]], "vec_id": ids[found[best]], "score": score[best]}))
+        return pd.concat(out)
 
     return run
 
