@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 KINDS = ["email", "ip", "card", "phone"]
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -376,7 +378,7 @@ def tagger(docs: DataFrame, sample_docs: int = 20000, sample_windows: int = 600,
             )
 
     some = docs.where(F.col("text").rlike(TRIGGERS) & (F.pmod(F.xxhash64("text"), F.lit(share)) == 0)).select("text")
-    kept = some.mapInPandas(run, "window string, spans array<int>, key string").distinct()
+    kept = stored(some.mapInPandas(run, "window string, spans array<int>, key string").distinct())
     kind = F.coalesce(F.get("spans", F.lit(1)), F.lit(-1))
     rows = []
     for k in range(-1, len(KINDS)):
