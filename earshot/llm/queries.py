@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html, langid, mixing, pieces, pii, quality, simhash, suffix, urls
+from . import ann, html, langid, mixing, oracles, pieces, pii, quality, simhash, suffix, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,6 @@ QUERIES = {
     for f in (op1_simhash, op2_html, op3_pii, op4_sentencepiece, op5_langid, op6_suffix, op7_urls, op8_ann, op9_mixing, op10_quality, pipeline)
 }
 
-#: None of the eleven is plain SQL: fingerprints, parsing, models and flows aren't.
-#: tests/llm/ holds each against a brute-force version.
-ORACLES: dict[str, str] = {}
+#: The SQL of those that SQL can express. Fingerprints, parsing, models and flows it
+#: can't; tests/llm/ holds them against brute-force versions.
+ORACLES: dict[str, str] = oracles.ORACLES
