@@ -7,8 +7,8 @@ by inverse document frequency and scaled to length one. Every language has up to
 with the largest cosine. A text whose cosine is lower than all but a thousandth of its
 language's own training texts is marked as rejected: it is in no language learnt.
 
-Fitted on a bounded, seeded sample of at most `per_language` labelled documents per
-language, whole texts; every text is predicted. Missing text and text without letters is
+Fitted on a bounded sample, by hash, of at most `per_language` different labelled texts
+per language, whole texts; every text is predicted. Missing text and text without letters is
 `und` with score 0; with nothing to learn from everything is. Repeated rows, ties
 (smaller language name) and a missing doc_id (learnt from by no one, not held out) have
 one result. The language, source and id are no inputs of a prediction.
@@ -81,11 +81,16 @@ def _centroids(idf: np.ndarray, clusters: int, rounds: int = 12, seed: int = 3):
     return run
 
 
-def learn(labelled: DataFrame, dims: int = 4096, clusters: int = 4, per_language: int = 600):
+def learn(labelled: DataFrame, dims: int = 4096, clusters: int = 4, per_language: int = 600, slots: int = 64):
     """(languages, centroids, rejection cosines, idf) from text and lang, or None."""
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = labelled.where("lang is not null and text is not null").select("text", "lang")
-    sample = sample.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_language)
+    known = labelled.where("lang is not null and text is not null").select("text", "lang", F.xxhash64("text").alias("key"))
+    # Copies count once. Only keys are ranked, in slots first, so a task's share is fixed.
+    keys = known.select("lang", "key").distinct().withColumn("slot", F.pmod("key", F.lit(slots)))
+    for groups in (["lang", "slot"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*groups).orderBy("key"))
+        keys = keys.withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
+    chosen = stored(keys.select("lang", "key"))
+    sample = known.join(chosen, ["lang", "key"]).groupBy("lang", "key").agg(F.min("text").alias("text"))
     vectors = stored(sample.select("text", "lang").mapInPandas(_vectors(dims), "lang string, vector binary"))
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

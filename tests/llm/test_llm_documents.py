@@ -535,3 +535,12 @@ def test_pipeline_stages(spark, documents):
             assert sum(times.values()) == pytest.approx(sum(plan.values()), rel=0.1) and max(times.values()) <= 3
         if name == "encoding":
             assert docs.count() == before.count()
+
+
+def test_language_sample_holds_copies_once(spark):
+    rows = [("the same words of one much copied text", "en")] * 500
+    rows += [(f"the words number {w} of an own text {w}{w}", "en") for w in ("one", "two", "six", "ten")]
+    rows += [(f"die Wörter {w} und das ist der Text {w}", "de") for w in ("eins", "zwei", "drei")]
+    langs, centres, _, _ = langid.learn(spark.createDataFrame(rows, "text string, lang string").repartition(8), per_language=5, clusters=5)
+    assert langs == ["de"] * 3 + ["en"] * 5
+    assert len({c.tobytes() for c in centres}) == 8
