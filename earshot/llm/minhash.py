@@ -1,0 +1,131 @@
+"""Near copies by exact Jaccard similarity of word shingles, candidates by banded MinHash.
+
+A text is its set of five-word shingles (a shorter text is one shingle). Two texts are
+near copies if their sets' Jaccard similarity is 0.8 or more, counted exactly in a join;
+MinHash only names the pairs to count. Texts with the same set are one entry. Each entry
+has `bands` keys, every one made of `rows` minima, and pairs that share a key are
+candidates: a pair at similarity s is one with probability 1 - (1 - s^rows)^bands, which
+is 0.99994 at 0.8 with 32 bands of six and 0.002 at 0.2.
+
+A key that many near copies share would make a pair of each two. So its entries are
+first compared with one of them, another for each key; then only pairs of entries that
+share a key and aren't linked yet are compared, all of them.
+
+Missing text is empty text; texts without words are copies of each other. Rows are
+independent: repeated rows, also of one doc_id, each come out once, and a missing doc_id
+has a component but is never the smallest. Other columns are not looked at.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import components, stored
+from .simhash import smallest_rows
+
+
+def shingles(text: str | None, width: int = 5) -> np.ndarray:
+    """The distinct hashes of a text's word shingles, in order."""
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not parts:
+        return np.empty(0, np.uint64)
+    joined, k = b" ".join(parts), min(width, len(parts))
+    ends = np.cumsum([len(p) + 1 for p in parts]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    digest = xxhash.xxh64_intdigest
+    found = [digest(joined[s:e]) for s, e in zip(starts[: len(parts) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)]
+    return np.unique(np.array(found, np.uint64))
+
+
+def band_keys(hashes: np.ndarray, bands: int = 32, rows: int = 6) -> list[int]:
+    """One signed key per band; an empty set has none."""
+    if not len(hashes):
+        return []
+    n = bands * rows
+    salts = np.random.default_rng(5).integers(0, 1 << 64, (2, n), np.uint64)
+    odd = salts[0] | np.uint64(1)
+    least = np.full(n, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 1024):  # bounded memory for very long texts
+        mixed = (hashes[at : at + 1024, None] ^ salts[1]) * odd
+        mixed ^= mixed >> np.uint64(32)
+        least = np.minimum(least, (mixed * odd).min(axis=0))
+    raw = least.reshape(bands, rows)
+    return [xxhash.xxh64_intdigest(b.tobytes(), i) - (1 << 63) for i, b in enumerate(raw)]
+
+
+def _entries(width: int, bands: int, rows: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for docs in batches:
+            sets = [shingles(t, width) for t in docs["text"]]
+            keys = [xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
+            yield pd.DataFrame(
+                {
+                    "doc_id": docs["doc_id"].astype("Int64"),
+                    "key": np.array(keys, np.int64),
+                    "bands": [band_keys(s, bands, rows) for s in sets],
+                    "hashes": [s.view(np.int64) for s in sets],
+                }
+            )
+
+    return run
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough."""
+    up, down = similarity
+    first = sets.select(F.col("key").alias("a"), F.col("hashes").alias("of_a"))
+    second = sets.select(F.col("key").alias("b"), F.col("hashes").alias("of_b"))
+    same = F.size(F.array_intersect("of_a", "of_b"))
+    every = F.size("of_a") + F.size("of_b") - same
+    return pairs.join(first, "a").join(second, "b").where(down * same >= up * every).select("a", "b")
+
+
+def links(entries: DataFrame, bands: int = 32, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
+    """Links (a, b) between distinct entries (key, bands, hashes) that connect all
+    candidates similar enough."""
+    up, down = similarity
+    keys = entries.select("key", F.size("hashes").alias("size"), F.explode("bands").alias("band"))
+    shared = keys.groupBy("band").agg(F.count("*").alias("n"), F.min_by("key", F.xxhash64("key", "band")).alias("lead")).where("n > 1").drop("n")
+    members = stored(keys.join(shared, "band"))
+    nodes = members.select("key").distinct()
+    sets = stored(entries.select("key", "hashes").join(nodes, "key", "left_semi"))
+    sizes = stored(members.select("key", "size").distinct())
+
+    tried = stored(members.where("key <> lead").select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct())
+    found = stored(_verified(tried, sets, similarity))
+    roots = components(found).withColumnRenamed("node", "key")
+    placed = stored(members.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root")))
+    groups = placed.select("band", "root").distinct()
+    apart = groups.withColumnRenamed("root", "root_a").join(groups.withColumnRenamed("root", "root_b"), "band").where("root_a < root_b")
+    first = placed.select("band", F.col("root").alias("root_a"), F.col("key").alias("a"))
+    second = placed.select("band", F.col("root").alias("root_b"), F.col("key").alias("b"))
+    both = apart.join(first, ["band", "root_a"]).join(second, ["band", "root_b"])
+    both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    size_a, size_b = (sizes.select(F.col("key").alias(x), F.col("size").alias(f"size_{x}")) for x in "ab")
+    both = both.join(size_a, "a").join(size_b, "b").where(down * F.least("size_a", "size_b") >= up * F.greatest("size_a", "size_b"))
+    return found.unionByName(_verified(stored(both.select("a", "b")), sets, similarity))
+
+
+def near_copies(docs: DataFrame, width: int = 5, similarity: tuple[int, int] = (4, 5), bands: int = 32, rows: int = 6) -> DataFrame:
+    """One row per row of `docs` (doc_id, text): `doc_id`, `component_id`, the smallest
+    doc_id among texts reachable over near copies, itself included."""
+    own = stored(
+        docs.select("doc_id", "text").mapInPandas(_entries(width, bands, rows), "doc_id long, key long, bands array<long>, hashes array<long>")
+    )
+    entries = stored(own.groupBy("key").agg(F.min("doc_id").alias("least"), F.any_value("bands").alias("bands"), F.any_value("hashes").alias("hashes")))
+    roots = components(stored(links(entries, bands, similarity)))
+    placed = entries.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root"))
+    smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    member = stored(placed.join(smallest, "root").select("key", "component_id"))
+    return own.select("doc_id", "key").join(member, "key").select("doc_id", "component_id")
+
+
+def distinct_documents(docs: DataFrame, **options) -> DataFrame:
+    """The documents without near copies; see `simhash.smallest_rows`."""
+    return smallest_rows(docs, near_copies(docs, **options))

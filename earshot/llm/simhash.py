@@ -128,16 +128,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, segments
     return own.join(member, "fp").select("doc_id", "fp", "component_id")
 
 
-def distinct_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents without near copies: of each component the row of its smallest
-    doc_id stays; of rows that repeat this doc_id the one least by text, lang and source.
+def smallest_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of each component (`found`: doc_id, component_id) the row of its smallest doc_id
+    stays; of rows that repeat this doc_id the one least by text, lang and source.
     Documents without a doc_id stay, as nothing names them."""
-    found = near_duplicates(docs, **options).where("doc_id = component_id").select("doc_id").distinct()
+    least = found.where("doc_id = component_id").select("doc_id").distinct()
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    kept = docs.join(found, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(whole, F.struct("text", "lang", "source")).alias("row"))
+    kept = docs.join(least, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(whole, F.struct("text", "lang", "source")).alias("row"))
     return kept.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
+def distinct_documents(docs: DataFrame, **options) -> DataFrame:
+    """The documents without near copies; see `smallest_rows`."""
+    return smallest_rows(docs, near_duplicates(docs, **options))
+
+
 def digest(fp: str = "fp"):
     """A signed fingerprint as 16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from earshot.llm import langid, mixing, pieces, pii, quality, simhash, suffix
+from earshot.llm import langid, minhash, mixing, pieces, pii, quality, simhash, suffix
 from earshot.llm.queries import QUERIES, vocabulary_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -544,3 +544,61 @@ def test_language_sample_holds_copies_once(spark):
     langs, centres, _, _ = langid.learn(spark.createDataFrame(rows, "text string, lang string").repartition(8), per_language=5, clusters=5)
     assert langs == ["de"] * 3 + ["en"] * 5
     assert len({c.tobytes() for c in centres}) == 8
+
+
+# Near copies
+
+
+def _copies(texts):
+    """The component of each text over exact five-word Jaccard similarity of 0.8 or more."""
+    sets = []
+    for t in texts:
+        words = (t or "").lower().split()
+        sets.append({" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    root = list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        a, b = sets[i], sets[j]
+        if a == b or 5 * len(a & b) >= 4 * len(a | b):
+            old, new = root[j], root[i]
+            root = [new if r == old else r for r in root]
+    return root
+
+
+def test_pipeline_drops_near_copies_of_many_bits(spark):
+    import corpus_pipeline as pipeline
+
+    rng = np.random.default_rng(0)
+    texts = []
+    for g in range(3):
+        words = [f"w{g}x{i}" for i in rng.integers(0, 10_000, 200)]
+        texts.append(" ".join(words))
+        for n in (1, 2, 3, 4, 9, 40):  # changed words; beyond four the similarity is below 0.8
+            other = words.copy()
+            for i in rng.choice(200, n, replace=False):
+                other[i] = f"new{i}"
+            texts.append(" ".join(other))
+    texts += ["a b", "a b", "a B", "a b c", None, ""]
+    expected = sorted({r: i for i, r in reversed(list(enumerate(_copies(texts))))}.values())
+    docs = _docs(spark, texts)
+    kept = dict(pipeline.STAGES)["near copies"](spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == expected
+    assert len(expected) < len(set(_components([_fingerprint(t) for t in texts])))
+
+
+def test_copies_in_one_key_are_all_compared(spark):
+    """Chains and stars in one shared key: what its lead doesn't reach is compared as well."""
+    chain = [list(range(i, i + 90)) for i in range(0, 60, 5)]
+    entries = [(i, [7], s) for i, s in enumerate(chain)] + [(99, [7], [1, 2, 3]), (100, [8], chain[0])]
+    found = minhash.links(spark.createDataFrame(entries, "key long, bands array<long>, hashes array<long>"))
+    from earshot.llm.common import components, stored
+
+    assert {r.node: r.root for r in components(stored(found)).collect()} == {i: 0 for i in range(1, 12)}
+
+
+def test_copies_odd_rows(odd, none):
+    assert minhash.near_copies(odd).count() == 8
+    assert minhash.near_copies(none).count() == 0
+    kept = minhash.distinct_documents(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 3, 4, 6]
