@@ -8,11 +8,15 @@ many times counts once, or its own text would look like a template.
 
 A host of one page has no recurrence to go by, and menus differ from page to page, so
 elements that name themselves are deleted as well: navigation, header, footer, aside,
-form, script, style and the like, and elements whose class, id or role says menu,
-sidebar, notice, advert, comments and so on. Inside `article` (or, without one, `main`)
+form, script, style and the like, and elements with a class, id or role that is, as a
+whole, menu, sidebar, notice, advert, comments and so on (`with-sidebar` or
+`related-work` is none). Inside `article` (or, without one, `main`)
 subtrees are deleted by such names only, as paragraphs of near copies recur too.
 
-The text is read from the articles, else from `main`, else from the body. Blocks are in
+The text is read from the articles, else from `main`, else from the body; an article or
+`main` with such a name, or in an element with one, is read where there is no other. What
+is around an article is never deleted by its name, but in another article, where it holds
+comments. Blocks are in
 page order; character references are decoded; white space inside a block is one space.
 Missing html is empty, with empty text. Malformed html is read as browsers do in the
 common cases (paragraphs that are never closed, stray end tags, a missing end). A
@@ -51,22 +55,37 @@ NAMES = frozenset(
     "notice notices notification alert popup modal overlay newsletter subscribe signup login search share sharing social "
     "related recommended comment comments respond reply replies disqus discussion toolbar pagination pager skip hidden".split()
 )
+#: Compounds that name such a part, too; all others describe what they are on.
+COMPOUNDS = frozenset(
+    "site-header site-footer site-nav site-navigation site-menu global-header global-footer page-footer main-nav main-navigation main-menu "
+    "primary-nav primary-menu secondary-nav top-nav top-menu side-nav side-bar left-sidebar right-sidebar nav-bar nav-menu menu-bar mobile-menu "
+    "mobile-nav footer-nav footer-links breadcrumb-nav page-navigation post-navigation skip-link skip-links ad-banner ad-container ad-slot ad-unit "
+    "ad-wrapper ad-box cookie-banner cookie-bar cookie-consent cookie-notice newsletter-signup newsletter-form search-form search-box login-form "
+    "social-share social-links social-media share-buttons share-bar sharing-buttons related-posts related-articles related-links "
+    "comment-list comments-list comments-area comments-section comment-form comment-body comment-respond".split()
+)
 #: An element that starts closes an open paragraph; these close their own kind.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 KEPT_IN_P = frozenset("a abbr b bdi bdo br cite code data del dfn em font i img ins kbd mark q s samp small span strong sub sup time tt u var wbr input label button select textarea object script style noscript template svg math canvas audio video iframe embed map picture source track link meta".split())
-TOKEN = re.compile(r"[A-Za-z]+")
+NUMBER = re.compile(r"[-_]*\d*$")
 WHITE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "names", "items", "digest")
+    __slots__ = ("tag", "names", "items", "digest", "holds")
 
     def __init__(self, tag: str, names: frozenset[str] = frozenset()):
         self.tag, self.names, self.items, self.digest = tag, names, [], 0
+        self.holds = tag in ("article", "main")  # it is or holds a main part
 
     @property
     def dropped(self) -> bool:
-        return self.tag in DROPPED or not self.names.isdisjoint(NAMES)
+        return self.tag in DROPPED or not self.names.isdisjoint(NAMES) or not self.names.isdisjoint(COMPOUNDS)
+
+    @property
+    def dropped_around(self) -> bool:
+        """Dropped where names don't count for what is or holds a main part."""
+        return self.dropped and (self.tag in DROPPED or not self.holds)
 
 
 class Reader(HTMLParser):
@@ -92,10 +111,13 @@ class Reader(HTMLParser):
             self._close({"p"}, frozenset({"table", "td", "th", "button", "object"}))
         if tag in CLOSES:
             self._close(CLOSES[tag], frozenset({"ul", "ol", "dl", "table", "select"}))
-        names = frozenset(t.lower() for k, v in attrs if k in ("class", "id", "role") and v for t in TOKEN.findall(v)) if attrs else frozenset()
+        names = frozenset(NUMBER.sub("", t.lower()).replace("_", "-") for k, v in attrs if k in ("class", "id", "role") and v for t in v.split()) if attrs else frozenset()
         if attrs and any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs):
             names |= {"hidden"}
         own = Element(tag, names)
+        if own.holds:
+            for x in self.open:
+                x.holds = True
         self.open[-1].items.append(own)
         if tag not in VOID:
             self.open.append(own)
@@ -135,17 +157,21 @@ def _walk(root: Element) -> list[Element]:
 
 
 def main_parts(root: Element) -> list[Element]:
-    """The outermost articles, else the outermost `main`s, else everything."""
-    for tag in ("article", "main"):
-        out, todo = [], [root]
-        while todo:
-            own = todo.pop()
-            if own.tag == tag and not own.dropped:
-                out.append(own)
-            elif not own.dropped:
-                todo += [x for x in reversed(own.items) if isinstance(x, Element)]
-        if out:
-            return out
+    """The outermost articles, else the outermost `main`s, else everything. Those that a
+    name would delete come after the others."""
+    for named in (False, True):
+        for tag in ("article", "main"):
+            out, todo = [], [root]
+            while todo:
+                own = todo.pop()
+                if own.dropped_around if named else own.dropped:
+                    continue
+                if own.tag == tag:
+                    out.append(own)
+                else:
+                    todo += [x for x in reversed(own.items) if isinstance(x, Element)]
+            if out:
+                return out
     return [root]
 
 
@@ -204,7 +230,7 @@ def blocks(parts: list[Element], template: frozenset[int]) -> list[str]:
                 now.append(" " if x.tag == "br" else "")
                 if x.tag == "hr":
                     end()
-            elif not x.dropped and x.digest not in template:
+            elif not (x.dropped if part.tag == "article" else x.dropped_around) and x.digest not in template:
                 if x.tag in BLOCK:
                     end()
                 todo.append((x, iter(x.items)))

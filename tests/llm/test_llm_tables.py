@@ -68,6 +68,24 @@ def test_shapes(body, text):
     assert "\n\n".join(html.blocks(html.main_parts(root), frozenset())) == text
 
 
+@pytest.mark.parametrize(
+    ("body", "text"),
+    [
+        ("<div class='page with-sidebar'><article class='post has-sidebar comments-open'><p>a</p></article></div>", "a"),
+        ("<article><p>a</p><section id='related-work'><h2>Related work</h2><p>b</p></section></article>", "a\n\nRelated work\n\nb"),
+        ("<article><div class='post-header'><h1>T</h1></div><p class='share-price'>7</p></article>", "T\n\n7"),
+        ("<div class='sidebar'><article>only</article></div>", "only"),
+        ("<main><p>a</p><div class='overlay'><article>b</article></div></main>", "a\n\nb"),
+        ("<main class='hidden'>m</main>", "m"),
+        ("<article>a<div id=comments><article>no</article></div></article><div id=comments><article>no</article></div>", "a"),
+        ("<div class='box Site_Header'>no</div><div class='ad-1'>no</div><p>yes</p><ul class='menu2'><li>no</ul>", "yes"),
+    ],
+)
+def test_names_are_whole_tokens(body, text):
+    root = html.read(body)
+    assert "\n\n".join(html.blocks(html.main_parts(root), frozenset())) == text
+
+
 def test_pages_odd_rows(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, None, None), (None, "http://a", ""), (2, "x", "<p>t"), (2, "x", "<p>t"), (3, "http://a", deep), (4, "http://a", "<p>" + "word " * 100_000)]
