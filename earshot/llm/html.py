@@ -2,11 +2,12 @@
 
 Every page is parsed into elements, and every element outside the page's article is
 hashed with its whole subtree. Spark counts, per host, on how many different pages a
-subtree occurs; those on `many` pages or more are the site's template, and are deleted
-before the text is read. Different means that the pages' texts differ: a page copied
+subtree occurs; those on `share` of the host's different pages, `many` at least, are the
+site's template, and are deleted before the text is read. On a host with less than `many`
+pages, but `few` at least, template is what is on all of them. Different means that the pages' texts differ: a page copied
 many times counts once, or its own text would look like a template.
 
-A host of one page has no recurrence to go by, and menus differ from page to page, so
+A host of one or two pages has no recurrence to go by, and menus differ from page to page, so
 elements that name themselves are deleted as well: navigation, header, footer, aside,
 form, script, style and the like, and elements with a class, id or role that is, as a
 whole, menu, sidebar, notice, advert, comments and so on (`with-sidebar` or
@@ -266,14 +267,19 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"page_id": rows["page_id"].astype("Int64"), "url": rows["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
 
-def main_texts(pages: DataFrame, many: int = 5) -> DataFrame:
+def main_texts(pages: DataFrame, many: int = 5, share: float = 0.1, few: int = 3) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     rows = pages.select("page_id", "url", "html", url_host(F.col("url")).alias("host"))
     rows = rows.withColumn("key", F.xxhash64("page_id", "url", "html"))
     seen = stored(rows.select("host", "key", "html").mapInPandas(_subtrees, "host string, key long, text_key long, subtrees array<long>"))
     each = seen.select("host", "key", "text_key", F.explode("subtrees").alias("subtree"))
-    pages_of = each.select("host", "subtree", "text_key").distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    shared = stored(pages_of.where(F.col("n") >= many).select("host", "subtree"))
+    # A null subtree is on every page of the host.
+    every = seen.select("host", "text_key", F.explode(F.concat("subtrees", F.array(F.lit(None).cast("long")))).alias("subtree"))
+    pages_of = every.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    counted = stored(pages_of.where(F.col("n") >= min(few, many)))
+    of_host = counted.where("subtree is null").select("host", F.col("n").alias("of"))
+    least = F.least(F.greatest(F.lit(many), share * F.col("of")), F.greatest(F.lit(few), F.col("of")))
+    shared = stored(counted.where("subtree is not null").join(of_host, "host").where(F.col("n") >= least).select("host", "subtree"))
     found = each.join(shared, ["host", "subtree"]).select("key", "subtree").distinct()
     template = found.groupBy("key").agg(F.collect_list("subtree").alias("template"))
     joined = rows.select("page_id", "url", "html", "key").join(stored(template), "key", "left")

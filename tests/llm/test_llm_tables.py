@@ -68,6 +68,21 @@ def test_shapes(body, text):
     assert "\n\n".join(html.blocks(html.main_parts(root), frozenset())) == text
 
 
+def test_template_is_a_share_of_the_host(spark):
+    def page(host, i, box, more=""):
+        return (i, f"http://{host}.example/{i}", f"<div class=box>{box}</div><p>text {i} of {host}</p>{more}")
+
+    licence = "<p>Licensed under these terms.</p>"
+    rows = [page("large", i, "Follow us", licence if i < 5 else "") for i in range(1000)]
+    rows += [page("small", 1000 + i, "Follow us", licence if i < 2 else "") for i in range(3)]
+    rows += [page("two", 1010 + i, "Follow us") for i in range(2)]
+    found = {r.page_id: r.text for r in html.main_texts(_pages(spark, rows)).collect()}
+    for i in range(1000):
+        assert found[i] == f"text {i} of large" + ("\n\nLicensed under these terms." if i < 5 else "")
+    assert [found[1000 + i] for i in range(3)] == [f"text {1000 + i} of small" + ("\n\nLicensed under these terms." if i < 2 else "") for i in range(3)]
+    assert found[1010] == "Follow us\n\ntext 1010 of two"
+
+
 @pytest.mark.parametrize(
     ("body", "text"),
     [
