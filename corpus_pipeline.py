@@ -1,4 +1,4 @@
-"""A corpus from raw documents to token ids, in six stages.
+"""A corpus from raw documents to token ids, in five stages.
 
 Every stage works on all that the one before it kept. Stages are joined by tables: each
 result is written and read again, so a stage can be repeated alone.
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.llm import minhash, mixing, pieces, pii, quality, simhash
+from earshot.llm import mixing, pieces, pii, quality, simhash
 from earshot.llm.common import stored
 from earshot.llm.queries import vocabulary_path
 
@@ -19,7 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of close fingerprints stays, the one of the smallest doc_id."""
+    """One document of each group of fingerprints two or fewer bits apart stays, the one of
+    the smallest doc_id; shingle length and distance are those of `op1_simhash`."""
     return simhash.distinct_documents(docs)
 
 
@@ -28,12 +29,6 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return pii.masked_documents(docs)
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts alike in 0.8 or more of their five-word
-    shingles stays. Masks come first, as they make texts alike."""
-    return minhash.distinct_documents(docs)
-
-
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each source has its share of the words; documents are repeated or left out."""
     return mixing.mixture(docs)
@@ -48,7 +43,6 @@ STAGES = [
     ("quality rules", quality_rules),
     ("near-duplicates", near_duplicates),
     ("personal data", personal_data),
-    ("near copies", near_copies),
     ("mixture", mixture),
     ("encoding", encoding),
 ]
