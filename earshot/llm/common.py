@@ -52,6 +52,16 @@ def discard(frame: DataFrame) -> None:
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def as_text(column: str) -> Column:
+    """An id on its way to Python: pandas makes doubles of whole numbers beside a null,
+    which changes those above 2^53. `as_long` takes it back."""
+    return F.col(column).cast("string").alias(column)
+
+
+def as_long(frame: DataFrame, column: str) -> DataFrame:
+    return frame.withColumn(column, F.col(column).cast("long"))
+
+
 def words(text: Column) -> Column:
     """The maximal runs of anything but ASCII white space, in order; null has none."""
     spaced = F.translate(F.coalesce(text, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import as_long, as_text, stored
 
 NOT_LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 LETTER = re.compile(r"[^\W\d_]")
@@ -129,7 +129,7 @@ def _predict(model, dims: int):
                 out.append((langs[i], float(np.clip(cosines[i], 0, 1)), bool(cosines[i] < least[i])))
             frame = pd.DataFrame(out, columns=["lang_pred", "score", "rejected"])
             frame.insert(0, "held_out", rows["held_out"].to_numpy())
-            frame.insert(0, "doc_id", rows["doc_id"].astype("Int64").to_numpy())
+            frame.insert(0, "doc_id", rows["doc_id"].to_numpy())
             yield frame
 
     return run
@@ -145,5 +145,5 @@ def languages(docs: DataFrame, dims: int = 4096, **options) -> DataFrame:
     the documents with an id that are not held out."""
     rows = docs.select("doc_id", "text", "lang", held_out().alias("held_out"))
     model = learn(rows.where("doc_id is not null and not held_out").select("text", "lang"), dims, **options)
-    schema = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
-    return rows.select("doc_id", "held_out", "text").mapInPandas(_predict(model, dims), schema)
+    schema = "doc_id string, held_out boolean, lang_pred string, score double, rejected boolean"
+    return as_long(rows.select(as_text("doc_id"), "held_out", "text").mapInPandas(_predict(model, dims), schema), "doc_id")

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import as_long, as_text, stored
 
 SPACE = "▁"
 #: A word is its leading spaces and what follows up to the next space; no piece spans
@@ -54,6 +54,11 @@ class Vocabulary:
     def unknown_score(self) -> float:
         return min(s for _, s in self.pieces.values()) - 10.0
 
+    @property
+    def parts(self) -> tuple:
+        """What a broadcast holds: plain data, as executors need not have this module."""
+        return self.pieces, self.byte_ids, self.kind
+
 
 def read_vocabulary(path: str) -> Vocabulary:
     """The pieces of a SentencePiece model file with byte fallback, read on the driver."""
@@ -216,10 +221,22 @@ def normalised(text: Column) -> Column:
 
 
 def frequent_words(docs: DataFrame, n: int) -> DataFrame:
-    """The n most frequent words of all documents that fit a bit set."""
+    """The most frequent words of all documents that fit a bit set, n at most.
+
+    The words' counts are counted in steps of a sixteenth of a doubling, a bounded table
+    that says from which step on the words are n at most; nothing is sorted."""
     word = F.explode(F.regexp_extract_all(normalised(F.col("text")), F.lit(f"({WORD})"), F.lit(1)))
     counted = docs.select(word.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    return counted.where(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(n).select("word")
+    step = F.floor(F.log2("n") * 16).cast("int")
+    fitting = stored(counted.where(F.length("word") <= LONGEST).withColumn("step", step))
+    steps = sorted((tuple(r) for r in fitting.groupBy("step").count().collect()), reverse=True)
+    total, least = 0, None
+    for at, inside in steps:
+        total += inside
+        if total > n:
+            break
+        least = at
+    return fitting.where(F.col("step") >= F.lit(least) if least is not None else F.lit(False)).select("word")
 
 
 def _texts_to_ids(vocabulary: Vocabulary, known: dict[str, bytes], cache: int = 200_000):
@@ -248,11 +265,12 @@ def dictionary(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000) ->
 
 def encoder(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000):
     """A column function from text to ids, with the frequent words of `docs` ready."""
-    known = docs.sparkSession.sparkContext.broadcast((vocabulary, dictionary(docs, vocabulary, size)))
+    known = docs.sparkSession.sparkContext.broadcast((vocabulary.parts, dictionary(docs, vocabulary, size)))
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode_text = _texts_to_ids(*known.value)
+        parts, words = known.value
+        encode_text = _texts_to_ids(Vocabulary(*parts), words)
         for texts in batches:
             for at in range(0, len(texts), ROWS):
                 yield pd.Series([np.frombuffer(encode_text(t), np.int32) for t in texts[at : at + ROWS]], dtype=object)
@@ -261,7 +279,7 @@ def encoder(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000):
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000) -> DataFrame:
-    """`docs` with `ids` in place of `text`."""
+    """`docs` with `ids` in place of `text` (and of a column of that name)."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "ids")]
     return docs.select(*rest, encoder(docs, vocabulary, size)(F.col("text")).alias("ids"))
 
@@ -298,21 +316,22 @@ def checked(docs: DataFrame, vocabulary: Vocabulary, size: int = 200_000) -> Dat
     """One row per document: doc_id, n_tokens, ids_sha256 (of the ids as little-endian
     32-bit numbers) and round_trip, whether decoding gives the text again (U+2581 reads
     back as a space, as spaces are written with it)."""
-    known = docs.sparkSession.sparkContext.broadcast((vocabulary, dictionary(docs, vocabulary, size), byte_table(vocabulary)))
+    known = docs.sparkSession.sparkContext.broadcast((vocabulary.parts, dictionary(docs, vocabulary, size), byte_table(vocabulary)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        voc, words, table = known.value
-        encode = _texts_to_ids(voc, words)
+        parts, words, table = known.value
+        encode = _texts_to_ids(Vocabulary(*parts), words)
         for rows in (batch[at : at + ROWS] for batch in batches for at in range(0, len(batch), ROWS)):
             texts = [t or "" for t in rows["text"]]
             ids = [encode(t) for t in texts]
             yield pd.DataFrame(
                 {
-                    "doc_id": rows["doc_id"].astype("Int64"),
+                    "doc_id": rows["doc_id"],
                     "n_tokens": [len(b) // 4 for b in ids],
                     "ids_sha256": [hashlib.sha256(b).hexdigest() for b in ids],
                     "round_trip": [text_of(np.frombuffer(b, np.int32), table) == t.replace(SPACE, " ") for b, t in zip(ids, texts, strict=True)],
                 }
             )
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, round_trip boolean")
+    found = docs.select(as_text("doc_id"), "text").mapInPandas(run, "doc_id string, n_tokens long, ids_sha256 string, round_trip boolean")
+    return as_long(found, "doc_id")

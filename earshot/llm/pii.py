@@ -30,10 +30,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import as_long, as_text, stored
 
 KINDS = ["email", "ip", "card", "phone"]
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: A match starts where no digit is before it; saying so keeps long runs of digits linear.
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -400,7 +401,6 @@ def _find(p: dict | None, length: int, least: float):
                 n = np.bincount([k for _, k, _ in fixed], minlength=len(KINDS)).tolist()
                 out.append((doc_id, *n, hashlib.sha256(_named(fixed).encode()).hexdigest(), _named(spans)))
             frame = pd.DataFrame(out, columns=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"])
-            frame["doc_id"] = rows["doc_id"].astype("Int64").values
             yield frame
 
     return run
@@ -411,12 +411,13 @@ def _suspects() -> Column:
     return F.when(F.col("text").rlike(TRIGGERS), F.col("text")).alias("text")
 
 
-def personal_data(docs: DataFrame, least: float = 0.9, length: int = 96, **sample) -> DataFrame:
+def personal_data(docs: DataFrame, least: float = 0.9, length: int = 96, learn_from: DataFrame | None = None, **sample) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone and base_sha256 of
-    the pattern matches, and `spans`, all spans as kind:start:end."""
-    p = tagger(docs, length=length, **sample)
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
-    return docs.select("doc_id", _suspects()).mapInPandas(_find(p, length, least), schema)
+    the pattern matches, and `spans`, all spans as kind:start:end. The tagger learns from
+    the same documents, unless others are given."""
+    p = tagger(docs if learn_from is None else learn_from, length=length, **sample)
+    schema = "doc_id string, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    return as_long(docs.select(as_text("doc_id"), _suspects()).mapInPandas(_find(p, length, least), schema), "doc_id")
 
 
 def _mask(p: dict | None, length: int, least: float):

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import as_long, as_text, components, stored
 
 
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
@@ -119,7 +119,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, segments
     """One row per row of `docs` (doc_id, text): `doc_id`, `fp` (signed), `component_id`,
     the smallest doc_id among texts reachable over links of `radius` differing bits or
     fewer, itself included."""
-    own = stored(docs.select("doc_id", "text").mapInPandas(_fingerprints(shingle), "doc_id long, fp long"))
+    own = stored(as_long(docs.select(as_text("doc_id"), "text").mapInPandas(_fingerprints(shingle), "doc_id string, fp long"), "doc_id"))
     known = stored(own.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(stored(links(known, radius, segments, tile)))
     placed = known.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))

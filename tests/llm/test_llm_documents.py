@@ -544,3 +544,101 @@ def test_language_sample_holds_copies_once(spark):
     langs, centres, _, _ = langid.learn(spark.createDataFrame(rows, "text string, lang string").repartition(8), per_language=5, clusters=5)
     assert langs == ["de"] * 3 + ["en"] * 5
     assert len({c.tobytes() for c in centres}) == 8
+
+
+# Ids and places
+
+
+BIG = 2**53 + 1
+
+
+@pytest.fixture(scope="module")
+def large_ids(spark):
+    texts = {BIG: "a text of its own, with seven words", None: "a text of no id at all", BIG - 1: "another text, unlike the first one"}
+    return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], SCHEMA).coalesce(1)
+
+
+@pytest.mark.parametrize("apply", [simhash.near_duplicates, pii.personal_data, langid.languages])
+def test_ids_stay_exact(large_ids, apply):
+    assert {r.doc_id for r in apply(large_ids).collect()} == {BIG, BIG - 1, None}
+
+
+def test_ids_stay_exact_in_encoding(large_ids, vocabulary):
+    assert {r.doc_id for r in pieces.checked(large_ids, vocabulary).collect()} == {BIG, BIG - 1, None}
+
+
+def test_no_document_of_a_large_id_is_lost(large_ids, vocabulary):
+    kept = pii.masked_documents(simhash.distinct_documents(large_ids))
+    assert {r.doc_id for r in kept.collect()} == {BIG, BIG - 1, None}
+    assert {r.doc_id for r in pieces.encoded(kept, vocabulary).collect()} == {BIG, BIG - 1, None}
+
+
+def test_encoding_needs_no_package_on_the_workers(tmp_path):
+    """The driver finds the package by itself; the workers' path doesn't hold it."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(pieces.__file__).parents[2])!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r})
+    .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+from earshot.llm import pieces
+from earshot.llm.queries import vocabulary_path
+docs = spark.createDataFrame([(1, "a few words"), (2, None)], "doc_id long, text string")
+vocabulary = pieces.read_vocabulary(vocabulary_path())
+assert sorted((r.doc_id, r.round_trip) for r in pieces.checked(docs, vocabulary).collect()) == [(1, True), (2, True)]
+assert pieces.encoded(docs, vocabulary).count() == 2
+"""
+    python_path = os.pathsep.join(p for p in sys.path if p.endswith("tokenizers") or p == "/opt")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | ({"PYTHONPATH": python_path} if python_path else {})
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=240)
+
+
+def test_frequent_words_are_the_most_frequent(spark):
+    docs = _docs(spark, ["a a a a b b b c c d e f g"] * 50 + [" ".join(f"w{i}" for i in range(500))])
+    assert {r.word for r in pieces.frequent_words(docs, 3).collect()} <= {"▁a", "▁b", "▁c"}
+    assert pieces.frequent_words(docs, 400).count() == 7
+    assert pieces.frequent_words(docs, 10_000).count() == 507
+    assert pieces.frequent_words(docs.limit(0), 10).count() == 0
+
+
+# Long digits, and what the tagger finds
+
+
+def test_long_runs_of_digits_are_linear():
+    import time
+
+    started = time.perf_counter()
+    assert pii.base_spans("7" * 1_000_000 + " 1.2.3.4") == [(1_000_001, 1, 1_000_008)]
+    assert pii.base_spans("1." * 200_000) == [(i * 8, 1, i * 8 + 7) for i in range(50_000)]
+    assert time.perf_counter() - started < 5
+
+
+def test_tagger_recall_at_the_querys_threshold(spark, documents):
+    """Rewritten data of documents it has not seen, found by the query's own operator."""
+    seen = {r.doc_id for r in documents.select("doc_id").collect()}
+    others = spark.read.parquet(f"{SMALL}/../sf0.1/documents.parquet").where(F.col("text").rlike("[0-9@]")).collect()
+    rng, planted = np.random.default_rng(3), []
+    for row in sorted(others, key=lambda r: r.doc_id):
+        spans = [x for x in pii.base_spans(row.text) if x[1] != 1]
+        if row.doc_id in seen or not spans:
+            continue
+        s, k, e = spans[0]
+        new, before, after = pii._rewritten(row.text[s:e], k, rng), row.text[max(0, s - 40) : s], row.text[e : e + 40]
+        whole = before + new + after
+        if not re.search("[0-9@]", before + after) and not pii.base_spans(whole):
+            planted.append((10**9 + len(planted), whole, "en", "s", k, len(before), len(before) + len(new)))
+    rows = [(i, t, lang, source, len(t)) for i, t, lang, source, *_ in planted]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    spans = {r.doc_id: r.spans.split(",") for r in pii.personal_data(docs, learn_from=documents).collect()}
+    found, total = Counter(), Counter()
+    for i, _, _, _, k, s, e in planted:
+        total[pii.KINDS[k]] += 1
+        found[pii.KINDS[k]] += f"{pii.KINDS[k]}:{s}:{e}" in spans[i]
+    assert min(total.values()) >= 20 and set(total) == {"email", "card", "phone"}
+    for kind in total:
+        assert found[kind] >= 0.8 * total[kind], (kind, found[kind], total[kind])

@@ -20,7 +20,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head>
 
 
 def _pages(spark, rows):
-    return spark.createDataFrame(rows, "page_id long, url string, html string").select("*", F.lit(1).alias("key"), F.lit(2).alias("template"))
+    return spark.createDataFrame(rows, "page_id long, url string, html string").select("*", F.lit(1).alias("key"), F.lit(2).alias("template"), F.lit(3).alias("host"), F.lit(4).alias("text_key"))
 
 
 def test_main_text_of_tables(spark):
@@ -101,6 +101,43 @@ def test_names_are_whole_tokens(body, text):
     assert "\n\n".join(html.blocks(html.main_parts(root), frozenset())) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<html><head><title>T</title><body><article><p>a</article></html>", "a"),
+        ("<head><title>T</title><meta charset=utf-8><p>b</p>", "b"),
+        ("<head><title>T</title>plain", "plain"),
+        ("<head><noscript><img src=x></noscript><style>p{}</style></head><p>c</p>", "c"),
+        ("<body><form><input type=hidden><header>no</header><article><p>a<input></article></form>", "a"),
+        ("<body><form action=x><h1>T</h1><p>d</p><p>e</p><input type=text><button>no</button></form>", "T\n\nd\n\ne"),
+        ("<p>f</p><form><p>Subscribe</p><input><button>Go</button></form>", "f"),
+        ("<article><p>x<svg><text>no</text><p>no</p></svg>y</p></article>", "xy"),
+    ],
+)
+def test_heads_forms_and_drawings(page, text):
+    root = html.read(page)
+    assert "\n\n".join(html.blocks(html.main_parts(root), frozenset())) == text
+
+
+def test_template_inside_articles(spark):
+    """What half of a host's pages hold goes from articles too; what fewer quote stays."""
+    share, quote = "<div><p>Share this</p><p>Follow us</p></div>", "<p>To be or not to be.</p>"
+    rows = [(i, f"http://a.example/{i}", f"<article><p>text {i}</p>{share if i % 4 else ''}{quote if i % 3 == 0 else ''}<p>more {i}</p></article>") for i in range(12)]
+    rows += [(20 + i, "http://b.example/", f"<article><p>own {i}</p>{share}</article>") for i in range(4)]
+    frame = _pages(spark, rows)
+    found = {r.page_id: r.text for r in html.main_texts(frame).collect()}
+    for i in range(12):
+        assert found[i] == f"text {i}" + ("\n\nTo be or not to be." if i % 3 == 0 else "") + f"\n\nmore {i}"
+    assert [found[20 + i] for i in range(4)] == [f"own {i}\n\nShare this\n\nFollow us" for i in range(4)]
+    off = {r.page_id: r.text for r in html.main_texts(frame, many=10**9, few=10**9).collect()}
+    assert sum(off[i] != found[i] for i in off) == 9
+
+
+def test_page_ids_stay_exact(spark):
+    rows = [(2**53 + 1, "http://a/", "<p>t"), (None, "http://a/", "<p>t"), (-(2**63), None, None)]
+    assert {r.page_id for r in html.main_texts(_pages(spark, rows)).collect()} == {2**53 + 1, None, -(2**63)}
+
+
 def test_pages_odd_rows(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, None, None), (None, "http://a", ""), (2, "x", "<p>t"), (2, "x", "<p>t"), (3, "http://a", deep), (4, "http://a", "<p>" + "word " * 100_000)]
