@@ -117,4 +117,102 @@ FROM counted LEFT JOIN failed USING (nr)
 """
 
 
-ORACLES: dict[str, str] = {"op6_suffix": SUFFIX, "op10_quality": quality_sql()}
+EXACT = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id,
+    min(doc_id) OVER (PARTITION BY t) AS keep_id,
+    count(*) OVER (PARTITION BY t) AS group_size,
+    row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept,
+    sha256(t) AS text_sha256
+FROM texts
+"""
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Every phrase of up to three words by counting all of them.
+PHRASES = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), listed AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+), places AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM listed
+), grams AS (
+    SELECT lang, k AS size, array_to_string(w[i:i + k - 1], ' ') AS p FROM places, (VALUES (1), (2), (3)) AS sizes(k) WHERE i + k - 1 <= len(w)
+), counts AS MATERIALIZED (
+    SELECT lang, size, p, count(*) AS f FROM grams GROUP BY lang, size, p
+), candidates AS MATERIALIZED (
+    SELECT lang, size, p, string_split(p, ' ') AS w, f AS a FROM counts WHERE size > 1 AND f >= 10
+), splits AS (
+    SELECT lang, p, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:size], ' ') AS tail
+    FROM candidates, (VALUES (1), (2)) AS cut(k) WHERE k < size
+), heads AS MATERIALIZED (
+    SELECT s.*, c.f AS l FROM splits AS s JOIN counts AS c ON c.lang = s.lang AND c.p = s.head
+), cuts AS (
+    SELECT s.lang, s.p, s.a, k, l, c.f AS r, CAST(1000000 AS HUGEINT) * s.a * s.a // (CAST(l AS HUGEINT) * c.f) AS score
+    FROM heads AS s JOIN counts AS c ON c.lang = s.lang AND c.p = s.tail
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inner_pairs AS (
+    SELECT lang, array_to_string(w[i:i + 1], ' ') AS p, a FROM candidates, (VALUES (1), (2)) AS place(i) WHERE size = 3
+), covered AS (
+    SELECT DISTINCT s.lang, s.p FROM candidates AS s JOIN inner_pairs AS t ON s.lang = t.lang AND s.p = t.p WHERE 100 * t.a >= 50 * s.a
+), totals AS (
+    SELECT lang, sum(f) AS n FROM counts WHERE size = 1 GROUP BY lang
+), ranked AS (
+    SELECT lang, p AS phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(p)) AS rank
+    FROM lowest ANTI JOIN covered USING (lang, p)
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+#: Words by table-driven CRC-32; near words by what is left after one deletion.
+VARIANTS = rf"""
+WITH RECURSIVE tab AS (
+    SELECT list(list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END) ORDER BY c) AS t
+    FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS c)
+), runs AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all({_LOWERED}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), each AS (
+    SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS code FROM runs GROUP BY id, run
+), summed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(0, CAST(length(code) // 2 AS BIGINT)), lambda i: CAST('0x' || substring(code, 2 * i + 1, 2) AS BIGINT))),
+        lambda x, b: xor(t[(xor(x, b) & 255) + 1], x >> 8))) AS h
+    FROM each, tab
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n
+    FROM (SELECT n, CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word FROM summed)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (
+    SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest
+    FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS BIGINT) AS i FROM words)
+), near AS (
+    SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut AS a JOIN cut AS b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, a.n, b.word, b.n FROM words AS a JOIN cut AS b ON a.word = b.rest
+    UNION SELECT a.word, a.n, b.word, b.n FROM cut AS a JOIN words AS b ON a.rest = b.word
+), best AS (
+    SELECT word, count(*) OVER (PARTITION BY word) AS n_near, near, near_n, n
+    FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) = 1
+), placed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+    FROM words AS w LEFT JOIN best USING (word)
+), led AS (
+    SELECT word, word AS root, form FROM placed
+    UNION ALL
+    SELECT l.word, p.word, p.form FROM led AS l JOIN placed AS p ON l.form = p.word
+)
+SELECT p.word, p.form, l.root, p.n, p.n_near, p.form_n
+FROM placed AS p JOIN led AS l ON l.word = p.word AND l.form IS NULL
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_suffix": SUFFIX,
+    "op10_quality": quality_sql(),
+    "op11_exact": EXACT,
+    "op12_phrases": PHRASES,
+    "op13_variants": VARIANTS,
+}

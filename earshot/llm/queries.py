@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html, langid, mixing, oracles, pieces, pii, quality, simhash, suffix, urls
+from . import ann, exact, html, langid, mixing, oracles, phrases, pieces, pii, quality, simhash, suffix, urls, variants
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = variants.misspelt_words(_table(spark, sf_dir, "documents"))
+    found = variants.variants(variants.common_words(counted))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -73,7 +87,22 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash, op2_html, op3_pii, op4_sentencepiece, op5_langid, op6_suffix, op7_urls, op8_ann, op9_mixing, op10_quality, pipeline)
+    for f in (
+        op1_simhash,
+        op2_html,
+        op3_pii,
+        op4_sentencepiece,
+        op5_langid,
+        op6_suffix,
+        op7_urls,
+        op8_ann,
+        op9_mixing,
+        op10_quality,
+        op11_exact,
+        op12_phrases,
+        op13_variants,
+        pipeline,
+    )
 }
 
 #: The SQL of those that SQL can express. Fingerprints, parsing, models and flows it
