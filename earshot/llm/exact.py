@@ -118,10 +118,8 @@ def exact_duplicates(docs: DataFrame, hottest: int = 1000, salts: int = 64, **op
 def distinct_rows(docs: DataFrame, **options) -> DataFrame:
     """The documents that stay; of rows of one doc_id with equal texts one stays, the least
     by its other columns' text."""
-    kept = exact_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_kept"), F.col("text_sha256").alias("_text")).distinct()
-    digest = F.sha2(normalised(F.col("text")), 256)
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    order = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest])) if rest else F.lit("")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")) & (digest == F.col("_text")), "left_semi")
-    return rows.groupBy("doc_id", digest.alias("_text")).agg(F.min_by(whole, order).alias("_row")).select("_row.*")
+    kept = exact_duplicates(docs, **options).where("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("text_sha256").alias("digest")).distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    packed = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.sha2(normalised(F.col("text")), 256).alias("digest"), whole)
+    rows = packed.join(kept, ["id", "digest"], "left_semi")
+    return rows.groupBy("id", "digest").agg(F.min_by("whole", F.to_json("whole")).alias("whole")).select("whole.*")

@@ -137,7 +137,7 @@ def one_edit(shard: Shard, queries: list[str], halves: list[int], block: int = 1
 def _search(shard: Shard, queries: list[np.ndarray], halves: np.ndarray) -> list[tuple[int, int]]:
     lengths = np.array([len(q) for q in queries])
     starts = np.cumsum(lengths) - lengths
-    symbols = np.concatenate(queries)
+    symbols = np.concatenate([*queries, [MARK]])
     n = len(queries)
     # The exact half, from its end to the delimiter before it.
     lo, lo2, width = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, shard.size)
