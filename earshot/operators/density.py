@@ -1,7 +1,10 @@
 """Gaussian kernel density of a numeric column, as violin plots draw it.
 
 Every step works on (value, count) pairs, and their shuffle is shared by all steps.
-The one row of range and bandwidth enters as a scalar subquery.
+Quartiles are refined in two passes, each of which joins the pairs with the at most four
+groups that the one before it left, so the plan grows by one use of the pairs a pass. The
+one row of range and bandwidth enters as a scalar subquery, the only one. A value meets
+the grid points at which its kernel is not zero.
 """
 
 from __future__ import annotations
@@ -13,8 +16,10 @@ GRID_POINTS = 512
 # A double's sign, exponent and first bits of its fraction make its bin: relative width
 # 1/256, zero alone, and at most 2 x 2048 x 256 bins whatever the values are.
 _BINS_PER_DOUBLING = 256
-# Slices of a bin that holds a wanted rank; and once more of the slices hit.
-_SLICES = 4096
+# Slices of a bin that holds a wanted rank; about 2^-24 of the value's size each.
+_SLICES = 65536
+# Beyond this many bandwidths a double's kernel is zero.
+_REACH = 40
 
 
 def value_counts(values: DataFrame, column: str) -> DataFrame:
@@ -51,100 +56,92 @@ _RANKS = [
 _HIT = " OR ".join(f"(before <= {r} AND {r} < before + inside)" for r in _RANKS)
 
 
-def _sliced(rows: DataFrame, hit: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of the groups hit with a finer group, and the finer groups hit.
-
-    A group is cut by its own range into equal slices, and only slices that hold a
-    wanted rank go on, so a crowded group is spread before anything is ranked. `rows`
-    has v, n and `part`; `hit` has part, before, total, and the range lo to hi.
-    """
-    facts = hit.selectExpr("part", "before AS outer_before", "total", "lo", "hi")
-    place = f"CAST(least(floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * {_SLICES}), {_SLICES - 1}) AS INT)"
-    fine = rows.join(F.broadcast(facts), "part").selectExpr(
-        "part AS outer_part", "v", "n", "outer_before", "total", f"IF(hi > lo, {place}, 0) AS slice"
-    )
-    # At most four groups of a bounded number of slices are in these windows.
-    sums = fine.groupBy("outer_part", "slice").agg(
-        F.expr("sum(n)").alias("inside"),
-        F.expr("min(v)").alias("lo"),
-        F.expr("max(v)").alias("hi"),
-        F.expr("min(outer_before)").alias("outer_before"),
-        F.expr("min(total)").alias("total"),
-    )
-    before = "outer_before + sum(inside) OVER (PARTITION BY outer_part ORDER BY slice) - inside"
-    found = sums.selectExpr("*", f"{before} AS before").filter(_HIT)
-    key = "struct(outer_part, slice) AS part"
-    return fine.selectExpr(key, "v", "n"), found.selectExpr(
-        key, "before", "inside", "total", "lo", "hi"
-    )
+# What a group hands on to the next pass beside its place.
+_FACTS = ["total", "least", "most", "squares"]
+_SLICE = (
+    "IF(bin_hi > bin_lo, CAST(least(floor("
+    f"(v / 2 - bin_lo / 2) / (bin_hi / 2 - bin_lo / 2) * {_SLICES}), {_SLICES - 1}) AS INT), 0)"
+)
 
 
-def summary(pairs: DataFrame) -> DataFrame:
-    """One row: `lo`, `hi`, `total`, `sd` and the interpolated quartiles `q1`, `q3`.
+def _hit_bins(binned: DataFrame) -> DataFrame:
+    """The at most four bins that hold a wanted rank, each with the facts of all pairs.
 
-    Exact without ranking all values in one task: the pairs are counted into bins, the
-    at most four bins that hold a wanted rank into slices, those again, and only what
-    is left is ranked. Squared deviations are summed around each bin's edge and then
-    moved to the mean.
+    Windows over everything see bins only, whose number is bounded. Squared deviations
+    are summed around each bin's edge and then moved to the mean.
     """
-    binned = _binned(pairs)
-    # Windows over everything see bins only, whose number is bounded.
-    bins = (
+    return (
         binned.groupBy("bin", "edge")
         .agg(
             F.expr("sum(n)").alias("inside"),
             F.expr("sum(n * (v - edge))").alias("s1"),
             F.expr("sum(n * pow(v - edge, 2))").alias("s2"),
-            F.expr("min(v)").alias("lo"),
-            F.expr("max(v)").alias("hi"),
+            F.expr("min(v)").alias("bin_lo"),
+            F.expr("max(v)").alias("bin_hi"),
         )
         .selectExpr(
-            "bin",
-            "inside",
-            "s1",
-            "s2",
-            "edge",
-            "lo",
-            "hi",
+            "*",
             "sum(inside) OVER (ORDER BY bin) - inside AS before",
             "sum(inside) OVER () AS total",
             "sum(inside * edge + s1) OVER () / sum(inside) OVER () AS mean",
-            "min(lo) OVER () AS least",
-            "max(hi) OVER () AS most",
+            "min(bin_lo) OVER () AS least",
+            "max(bin_hi) OVER () AS most",
         )
         .selectExpr(
-            "bin AS part",
+            "bin AS hit_bin",
             "inside",
             "before",
+            "bin_lo",
+            "bin_hi",
             "total",
-            "lo",
-            "hi",
             "least",
             "most",
             "sum(s2 + 2 * (edge - mean) * s1 + inside * pow(edge - mean, 2)) OVER () AS squares",
         )
         .filter(_HIT)
     )
-    rows, hit = _sliced(binned.selectExpr("v", "n", "bin AS part"), bins)
-    rows, hit = _sliced(rows, hit)
-    facts = bins.selectExpr("struct(least, most, total, squares) AS f").limit(1).scalar()
-    ranked = rows.join(F.broadcast(hit.select("part", "before", "total")), "part").selectExpr(
-        "*", "before + sum(n) OVER (PARTITION BY part ORDER BY v) - n AS start"
+
+
+def _hit_slices(binned: DataFrame, bins: DataFrame) -> DataFrame:
+    """The at most four slices of those bins that hold a wanted rank."""
+    fine = binned.join(F.broadcast(bins), binned.bin == bins.hit_bin).selectExpr(
+        "hit_bin", "n", "before AS bin_before", "bin_lo", "bin_hi", *_FACTS, f"{_SLICE} AS slice"
+    )
+    # At most four bins of a bounded number of slices are in this window.
+    sums = fine.groupBy("hit_bin", "slice").agg(
+        F.expr("sum(n)").alias("inside"),
+        *[F.min(name).alias(name) for name in ("bin_before", "bin_lo", "bin_hi", *_FACTS)],
+    )
+    before = "bin_before + sum(inside) OVER (PARTITION BY hit_bin ORDER BY slice) - inside"
+    return sums.selectExpr("*", f"{before} AS before").filter(_HIT)
+
+
+def summary(pairs: DataFrame) -> DataFrame:
+    """One row: `lo`, `hi`, `total`, `sd` and the interpolated quartiles `q1`, `q3`.
+
+    Exact without ranking all values in one task: the pairs are counted into bins, those
+    of the at most four bins that hold a wanted rank into slices, and only what is in the
+    at most four slices that hold one is ranked.
+    """
+    binned = _binned(pairs)
+    hit = _hit_slices(binned, _hit_bins(binned))
+    last = binned.join(F.broadcast(hit.drop("inside", "bin_before")), binned.bin == hit.hit_bin)
+    ranked = last.filter(f"{_SLICE} = slice").selectExpr(
+        "*", "before + sum(n) OVER (PARTITION BY hit_bin, slice ORDER BY v) - n AS start"
     )
     values = [
         f"max(IF(start <= {r} AND {r} < start + n, v, NULL)) AS x{i}"
         for i, r in enumerate(_RANKS)
     ]
+    facts = [F.min(name).alias(name) for name in _FACTS]
     return (
-        ranked.agg(*map(F.expr, values))
-        .select("*", facts.alias("f"))
-        .selectExpr("*", "f.least AS lo", "f.most AS hi", "f.total AS total", "f.squares AS squares")
+        ranked.agg(*map(F.expr, values), *facts)
         .filter("total IS NOT NULL")
         .selectExpr(
-            "lo",
-            "hi",
+            "least AS lo",
+            "most AS hi",
             "total",
-            "IF(lo = hi, 0D, sqrt(greatest(squares, 0D) / nullif(total - 1, 0))) AS sd",
+            "IF(least = most, 0D, sqrt(greatest(squares, 0D) / nullif(total - 1, 0))) AS sd",
             f"x0 + ({_LOW} - floor({_LOW})) * (x1 - x0) AS q1",
             f"x2 + ({_HIGH} - floor({_HIGH})) * (x3 - x2) AS q3",
         )
@@ -173,11 +170,19 @@ def density(values: DataFrame, column: str, points: int = GRID_POINTS) -> DataFr
     """
     pairs = value_counts(values, column)
     band = bandwidth(pairs).selectExpr("struct(*)").scalar().alias("b")
-    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
+    # The least value meets every point, so that none is without a row.
+    step = f"nullif(b.hi - b.lo, 0) / {float(points - 1)}D"
+    first = f"ceil((v - b.lo - {_REACH} * b.h) / ({step}))"
+    last = f"floor((v - b.lo + {_REACH} * b.h) / ({step}))"
+    near = [
+        f"CAST(IF(v = b.lo, 0, greatest(0, coalesce({first}, 0))) AS INT) AS first",
+        f"CAST(IF(v = b.lo, {points - 1}, least({points - 1}, coalesce({last}, {points}))) AS INT) AS last",
+    ]
     # Each task sums its own values per position, so `points` rows per task are shuffled.
     return (
         pairs.select("v", "n", band)
-        .select("v", "n", "b", grid)
+        .selectExpr("v", "n", "b", *near)
+        .selectExpr("v", "n", "b", "explode(sequence(first, greatest(first, last))) AS point")
         .selectExpr(
             "v",
             "n",
