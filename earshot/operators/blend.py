@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.functions import asc, desc, minutes, n_distinct, whole
@@ -63,6 +63,47 @@ def favourite_genre(plays: DataFrame) -> DataFrame:
     )
 
 
+def rankings(plays: DataFrame) -> DataFrame:
+    """All five measures of every user in one row, from one pass over the plays.
+
+    Plays are added up per user, artist and genre; those sums once per artist and once
+    per genre (two grouping sets of one aggregation), and these per user. Sums of a user
+    are taken from the sets by artist, the genre from the others.
+    """
+    finest = plays.groupBy("username", "artist_name", "genre").agg(
+        F.sum("ms_played").alias("ms"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum("tempo").alias("tempo"),
+        F.count("tempo").alias("n_tempo"),
+        F.sum("followers").alias("followers"),
+        F.count("followers").alias("n_followers"),
+    )
+    sums = [F.sum(name).alias(name) for name in ("ms", "n", "tempo", "n_tempo", "followers", "n_followers")]
+    sets = [["username", "artist_name"], ["username", "genre"]]
+    columns = [F.col(name) for name in ("username", "artist_name", "genre")]
+    both = finest.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(
+        F.grouping("genre").alias("by_artist"), *sums
+    )
+    by_artist = F.col("by_artist") == 1
+
+    def total(name: str) -> Column:
+        return F.sum(F.when(by_artist, F.col(name)))
+
+    per_artist = F.when(by_artist, F.col("followers") / F.nullif(F.col("n_followers"), F.lit(0)))
+    common = F.when(~by_artist & F.col("genre").isNotNull(), F.struct((-F.col("n")).alias("less"), "genre"))
+    return (
+        both.groupBy("username")
+        .agg(
+            (total("ms") / F.lit(MS_PER_MINUTE)).alias("minutes_listened"),
+            (total("tempo") / F.nullif(total("n_tempo"), F.lit(0))).alias("average_tempo"),
+            F.count_if(by_artist).alias("artists_number"),
+            whole(F.avg(per_artist)).cast("bigint").alias("average_followers_n"),
+            F.min(common).getField("genre").alias("fav_genre"),
+        )
+        .orderBy(asc("username"))
+    )
+
+
 RANKINGS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "listening_time": rank_listening_time,
     "average_tempo": rank_average_tempo,

@@ -38,6 +38,15 @@ def compatibility_profile(profile: DataFrame, left: str, right: str) -> DataFram
     )
 
 
+# Parts that a person's artists are dealt into when long lists are cut.
+_PARTS = 16
+
+
+def _first_places(df: DataFrame, keys: Sequence[str], order: list, n: int) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+
+
 def _shared(plays: DataFrame, left: str, right: str, n: int) -> DataFrame:
     per_artist = (
         plays.filter(F.col("username").isin(left, right))
@@ -45,10 +54,13 @@ def _shared(plays: DataFrame, left: str, right: str, n: int) -> DataFrame:
         .agg(F.sum("ms_played").alias("ms"))
         .dropna()
     )
-    by_time = Window.partitionBy("username").orderBy(desc("ms"), asc("artist_name"))
-    best = per_artist.withColumn("place", F.row_number().over(by_time)).filter(
-        F.col("place") <= n
-    )
+    order = [desc("ms"), asc("artist_name")]
+    limit = int(plays.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if n > limit:
+        # Spark cuts no such list before it shuffles it, so parts of a person are cut first.
+        part = F.pmod(F.xxhash64("artist_name"), F.lit(_PARTS))
+        per_artist = _first_places(per_artist.withColumn("part", part), ["username", "part"], order, n)
+    best = _first_places(per_artist, ["username"], order, n)
     all_ms = F.sum("ms").over(Window.partitionBy("username"))
     pointed = best.select(
         "username",
@@ -81,8 +93,8 @@ def shared_artists(plays: DataFrame, left: str, right: str, n: int = 100) -> Dat
     Points are an artist's share in percent of the time its person gave to the whole
     top `n`; the score is the higher of the two. Each task sends on its own first `n`
     artists of a person while `n` is at most Spark's limit for that
-    (`spark.sql.optimizer.windowGroupLimitThreshold`, 1,000); for a larger `n` all
-    artists of a person meet in one task.
+    (`spark.sql.optimizer.windowGroupLimitThreshold`, 1,000). For a larger `n` a person's
+    artists are dealt into parts first, and each part sends on its own first `n`.
     """
     return _shared(plays, left, right, n).orderBy(desc("time_left"), asc("artist_name"))
 

@@ -66,6 +66,45 @@ def first_tracks(plays: DataFrame, order_by: Sequence[str] | None = None) -> Dat
     )
 
 
+def first_rows(
+    plays: DataFrame, key: str, order_by: Sequence[str] | None = None
+) -> DataFrame:
+    """The first play row of every name, as a state that later exports are merged into:
+    the name, the row's place in the order and its URI."""
+    order = list(order_by or file_order(plays))
+    return first_per_key(plays.select(key, "spotify_track_uri", *order), [key], order)
+
+
+def merged_dim(
+    state: DataFrame, firsts: DataFrame, key: str, attributes: Sequence[str], look_up
+) -> DataFrame:
+    """A stored dimension with a new export's first rows merged in.
+
+    `state` has what `first_rows` gives and the `attributes`; `firsts` are the new
+    export's. Old plays aren't read: a name keeps its attributes unless the new export
+    has an earlier row of it. Only names that are new, or whose URI changed, are looked up,
+    by `look_up`, which takes rows with the key and `spotify_track_uri` and adds the
+    attributes.
+    """
+    order = file_order(firsts)
+    columns = [key, "spotify_track_uri", *order]
+    known = state.select(*columns, F.struct(*attributes).alias("_known"), F.lit(0).alias("_new"))
+    fresh = firsts.select(*columns, F.lit(1).alias("_new"))
+    # Of equal places the stored row counts, as both are the same play.
+    first = first_per_key(
+        known.unionByName(fresh, allowMissingColumns=True), [key], [*order, "spotify_track_uri", "_new"]
+    )
+    kept = first.filter("_new = 0").select(*columns, "_known.*")
+    looked_up = look_up(first.filter("_new = 1").select(*columns))
+    return kept.unionByName(looked_up.select(*columns, *attributes))
+
+
+def with_features_by_uri(firsts: DataFrame, track_features: DataFrame) -> DataFrame:
+    """First rows with the features of their track."""
+    known = one_per_id(track_features, "track_id")
+    return firsts.withColumn("track_id", track_id()).join(known, "track_id", "left").drop("track_id")
+
+
 def one_per_id(lookup: DataFrame, key: str) -> DataFrame:
     """A lookup with one row per id, the least of those that repeat it."""
     return first_per_key(lookup, [key], [])
@@ -109,16 +148,24 @@ def artist_dim(
     order = list(order_by or file_order(plays))
     narrow = plays.select("artist_name", "spotify_track_uri", *order)
     named = narrow.filter(F.col("artist_name").isNotNull())
-    first = first_per_key(named, ["artist_name"], order).select(
-        "artist_name", track_id().alias("track_id")
+    first = first_per_key(named, ["artist_name"], order)
+    return with_attributes_by_uri(first, track_artists, artist_profiles).select(
+        "artist_name", *ARTIST_ATTRIBUTES
     )
+
+
+def with_attributes_by_uri(
+    firsts: DataFrame, track_artists: DataFrame, artist_profiles: DataFrame
+) -> DataFrame:
+    """First rows with the attributes of the first artist of their track."""
     known = one_per_id(track_artists.select("track_id", "artist_ids"), "track_id")
     ids = known.select("track_id", F.get("artist_ids", F.lit(0)).alias("artist_id"))
     profiles = one_per_id(artist_profiles, "artist_id")
     return (
-        first.join(ids, "track_id", "left")
+        firsts.withColumn("track_id", track_id())
+        .join(ids, "track_id", "left")
         .join(first_of_list(profiles), "artist_id", "left")
-        .select("artist_name", *ARTIST_ATTRIBUTES)
+        .drop("track_id", "artist_id")
     )
 
 

@@ -14,15 +14,25 @@ from pyspark.sql import functions as F
 
 from earshot.operators import blend, compat, filters, prepare, stats, wrapped
 from earshot.plans import etl
-from earshot.schema import PLAYLIST, RADAR_FEATURES
+from earshot.schema import ARTIST_ATTRIBUTES, PLAYLIST, PLAYS, RADAR_FEATURES, TRACK_FEATURES
 from earshot.sources import (
+    Scan,
     calendar,
     csv_lines,
+    csv_record,
     csv_values,
     days_spanned,
     fixture,
     json_lines,
     json_values,
+    merge_plays,
+    read_plays,
+    read_user_tables,
+    scan_csv,
+    scan_json,
+    shared_folder,
+    write_csv,
+    write_plays,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +46,11 @@ FIRST_MONTH, LAST_MONTH = 3, 9
 FEATURE = "valence"
 SMALL_TOP = 10
 
+LARGE_TOP = 5000
+
 QUERIES: dict[str, Query] = {}
+# Queries that write files under the shared folder and read them.
+STORING: set[str] = set()
 
 
 def query(build: Query) -> Query:
@@ -44,6 +58,11 @@ def query(build: Query) -> Query:
     return build
 
 
+def storing(build: Query) -> Query:
+    STORING.add(build.__name__)
+    return query(build)
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 6) for name in columns})
 
@@ -158,12 +177,148 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_array_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One array per person and artist, as a file of records is one array.
     records = personal_playlist(spark, sf_dir)
-    grouped = records.groupBy("who", "artist_name").agg(
+    # An artist with much of a person's songs has several arrays.
+    part = F.pmod(F.xxhash64("track_name"), F.lit(256))
+    grouped = records.groupBy("who", "artist_name", part).agg(
         F.to_json(F.collect_list(F.struct(*records.columns))).alias("line")
     )
     return json_values(grouped, PLAYLIST, array=True)
 
 
+# Files and stored tables
+
+
+def _text_files(texts: DataFrame, folder: str, header: str | None = None) -> str:
+    """Files of the lines in `line`, each with the header, if there is one."""
+    lines = texts.select(F.pmod(F.xxhash64("line"), F.lit(4)).alias("part"), F.lit(1).alias("at"), "line")
+    if header is not None:
+        heads = texts.sparkSession.range(4).select(F.col("id").alias("part"), F.lit(0).alias("at"), F.lit(header).alias("line"))
+        lines = lines.unionByName(heads)
+    placed = lines.repartition("part").sortWithinPartitions("part", "at").select("part", "line")
+    placed.write.partitionBy("part").text(folder)
+    return folder
+
+
+def _csv_scan(spark: SparkSession, sf_dir: str) -> Scan:
+    """Playlists as CSV files; by its count a row is cut short, or has a word as count."""
+    rows = personal_playlist(spark, sf_dir).withColumn("kind", F.col("count") % 5)
+    text = F.when(F.col("kind") == 1, "many").otherwise(F.col("count").cast("string"))
+    line = csv_record(PLAYLIST.fieldNames())
+    cut = F.when(F.col("kind") == 0, F.substring_index(line, ",", 2)).otherwise(line)
+    lines = rows.withColumn("count", text).select(cut.alias("line"))
+    folder = _text_files(lines, shared_folder(spark), ",".join(PLAYLIST.fieldNames()))
+    return scan_csv(spark, folder, PLAYLIST)
+
+
+def _json_scan(spark: SparkSession, sf_dir: str) -> Scan:
+    """Playlists as JSON lines, broken as in `_csv_scan`."""
+    rows = personal_playlist(spark, sf_dir).withColumn("kind", F.col("count") % 5)
+    names = [name for name in PLAYLIST.fieldNames() if name != "count"]
+    whole = F.to_json(F.struct(*names, "count"))
+    word = F.to_json(F.struct(*names, F.lit("many").alias("count")))
+    cut = whole.substr(F.lit(1), F.length(whole) - 1)
+    line = F.when(F.col("kind") == 0, cut).when(F.col("kind") == 1, word).otherwise(whole)
+    return scan_json(spark, _text_files(rows.select(line.alias("line")), shared_folder(spark)), PLAYLIST)
+
+
+@storing
+def csv_good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _csv_scan(spark, sf_dir).rows
+
+
+@storing
+def csv_broken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = F.split(F.translate("record", '"', ""), ",")
+    return _csv_scan(spark, sf_dir).broken.select(
+        fields[0].alias("who"), fields[1].alias("artist_name"), "reason"
+    )
+
+
+@storing
+def json_good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _json_scan(spark, sf_dir).rows
+
+
+@storing
+def json_broken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def field(name: str):
+        return F.regexp_extract("record", f'"{name}":"([^"]*)"', 1).alias(name)
+
+    return _json_scan(spark, sf_dir).broken.select(field("who"), field("track_name"), "reason")
+
+
+@storing
+def stacked_user_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Each user's file has other columns: two are missing, one is more, the order differs.
+    everyone = fixture.plays(spark, sf_dir).select(*PLAYS.fieldNames())
+    folder, files = shared_folder(spark), {}
+    for user in fixture.USERS:
+        own = everyone.filter(F.col("username") == user).drop("username")
+        if user == "user_a":
+            own = own.drop("image", "followers")
+        elif user == "user_b":
+            own = own.withColumn("device", F.concat(F.lit("d"), "hour"))
+        else:
+            own = own.select(*reversed(own.columns))
+        files[user] = f"{folder}/{user}"
+        write_csv(own, files[user])
+    return read_user_tables(spark, files, PLAYS)
+
+
+@storing
+def months_stored_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A corrected export of some months replaces them; storing it twice changes nothing.
+    everyone, folder = fixture.plays(spark, sf_dir), shared_folder(spark)
+    write_plays(everyone, folder)
+    own = filters.plays_by_months(everyone, OTHER, YEAR, FIRST_MONTH, LAST_MONTH)
+    corrected = own.filter(F.col("ms_played") >= 60000)
+    merge_plays(corrected, folder)
+    merge_plays(corrected, folder)
+    return read_plays(spark, folder)
+
+
+def _exports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two exports of the same accounts, interleaved in time."""
+    both = _normalised(spark, sf_dir)
+    return both.filter("event_id % 3 <> 0"), both.filter("event_id % 3 = 0")
+
+
+def _kept(state: DataFrame) -> DataFrame:
+    """A state as the job before left it."""
+    folder = shared_folder(state.sparkSession)
+    state.write.parquet(folder)
+    return state.sparkSession.read.schema(state.schema).parquet(folder)
+
+
+@storing
+def merged_track_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    older, newer = _exports(spark, sf_dir)
+    features = fixture.track_features(spark, sf_dir)
+
+    def look_up(rows: DataFrame) -> DataFrame:
+        return prepare.with_features_by_uri(rows, features)
+
+    key = "track_name"
+    state = _kept(look_up(prepare.first_rows(older, key)))
+    firsts = prepare.first_rows(newer, key)
+    return prepare.merged_dim(state, firsts, key, TRACK_FEATURES, look_up).select(key, *TRACK_FEATURES)
+
+
+@storing
+def merged_artist_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    older, newer = _exports(spark, sf_dir)
+    lookups = fixture.track_artists(spark, sf_dir), fixture.artist_profiles(spark, sf_dir)
+
+    def look_up(rows: DataFrame) -> DataFrame:
+        return prepare.with_attributes_by_uri(rows, *lookups)
+
+    key = "artist_name"
+    state = _kept(look_up(prepare.first_rows(older.filter("artist_name IS NOT NULL"), key)))
+    firsts = prepare.first_rows(newer.filter("artist_name IS NOT NULL"), key)
+    merged = prepare.merged_dim(state, firsts, key, ARTIST_ATTRIBUTES, look_up)
+    return merged.select(key, *ARTIST_ATTRIBUTES)
+
+
 # Selections
 
 
@@ -286,6 +441,11 @@ def favourite_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blend.rank(_ranged(spark, sf_dir), "favourite_genre")
 
 
+@query
+def rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(blend.rankings(_ranged(spark, sf_dir)), "average_tempo")
+
+
 @query
 def mutual_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blend.mutual_artist(_ranged(spark, sf_dir), fixture.USERS)
@@ -393,6 +553,11 @@ def compatibility_score_small_top(spark: SparkSession, sf_dir: str) -> DataFrame
     return compat.compatibility_score(fixture.plays(spark, sf_dir), USER, OTHER, SMALL_TOP)
 
 
+@query
+def compatibility_score_large_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compat.compatibility_score(fixture.plays(spark, sf_dir), USER, OTHER, LARGE_TOP)
+
+
 @query
 def compatibility_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compat.compatibility_artists(fixture.plays(spark, sf_dir), USER, OTHER)

@@ -283,6 +283,10 @@ _SCORE = """
 SELECT CAST(coalesce(round_even(sum(score), 0), 0) AS BIGINT) AS total_score,
   count(*) AS mutual_artists FROM shared"""
 
+_ROUNDED_PLAYLIST = (
+    _PLAYLIST + ",\nrounded AS (SELECT * REPLACE (round(time, 6) AS time) FROM playlist)"
+)
+
 ORACLES: dict[str, str] = {
     "union_users": _with(_NORMALISED, "SELECT * FROM normalised"),
     "calendar_days": _with(
@@ -325,6 +329,43 @@ WHERE username <> 'user_c' OR time < TIMESTAMP '2024-12-08'""",
         ("personal_playlist", "csv_round_trip", "json_round_trip", "json_array_round_trip"),
         _with(_PLAYS + _PLAYLIST, "SELECT * REPLACE (round(time, 6) AS time) FROM playlist"),
     ),
+    "csv_good_rows": _with(_PLAYS + _ROUNDED_PLAYLIST, "SELECT * FROM rounded WHERE count % 5 > 1"),
+    "json_good_rows": _with(_PLAYS + _ROUNDED_PLAYLIST, "SELECT * FROM rounded WHERE count % 5 > 1"),
+    "csv_broken_rows": _with(
+        _PLAYS + _ROUNDED_PLAYLIST,
+        """
+SELECT who, coalesce(artist_name, 'NA') AS artist_name,
+  CASE count % 5 WHEN 0 THEN 'fields' ELSE 'count' END AS reason
+FROM rounded WHERE count % 5 <= 1""",
+    ),
+    "json_broken_rows": _with(
+        _PLAYS + _ROUNDED_PLAYLIST,
+        """
+SELECT who, coalesce(track_name, '') AS track_name, 'fields' AS reason
+FROM rounded WHERE count % 5 <= 1""",
+    ),
+    "stacked_user_files": _with(
+        _PLAYS,
+        """
+SELECT * EXCLUDE (event_id, duration_ms) REPLACE (
+    CASE WHEN username <> 'user_a' THEN image END AS image,
+    CASE WHEN username <> 'user_a' THEN followers END AS followers),
+  CASE WHEN username = 'user_b' THEN 'd' || hour END AS device
+FROM plays""",
+    ),
+    "months_stored_again": _with(
+        _PLAYS,
+        """
+, corrected AS (
+  SELECT * FROM plays WHERE username = 'user_b' AND year(time) = 2024
+    AND month(time) BETWEEN 3 AND 9 AND ms_played >= 60000
+)
+SELECT * FROM plays WHERE username <> 'user_b'
+  OR date_trunc('month', time) NOT IN (SELECT date_trunc('month', time) FROM corrected)
+UNION ALL SELECT * FROM corrected""",
+    ),
+    "merged_track_dim": _with(_TRACK_DIM, "SELECT * FROM track_dim"),
+    "merged_artist_dim": _with(_ARTIST_DIM, "SELECT * FROM artist_dim"),
     "plays": _with(_PLAYS, "SELECT * FROM plays"),
     "user_plays": _with(_OWN, "SELECT * FROM own"),
     "all_plays_in_range": _with(_RANGE, "SELECT * FROM ranged"),
@@ -424,6 +465,23 @@ GROUP BY 1""",
 SELECT username, genre AS fav_genre
 FROM (SELECT username, genre, count(*) AS n FROM ranged WHERE genre IS NOT NULL GROUP BY ALL)
 QUALIFY row_number() OVER (PARTITION BY username ORDER BY n DESC, genre) = 1""",
+    ),
+    "rankings": _with(
+        _RANGE,
+        f"""
+, artists AS (
+  SELECT username, artist_name, avg(followers) AS followers FROM ranged GROUP BY ALL
+), genres AS (
+  SELECT username, genre FROM (SELECT username, genre, count(*) AS n FROM ranged WHERE genre IS NOT NULL GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY username ORDER BY n DESC, genre) = 1
+)
+SELECT r.username, r.minutes_listened, r.average_tempo, a.artists_number, a.average_followers_n, g.genre AS fav_genre
+FROM (SELECT username, {_MINUTES} AS minutes_listened, round(avg(tempo), 6) AS average_tempo FROM ranged GROUP BY 1) AS r
+JOIN (
+  SELECT username, count(*) AS artists_number, CAST(round_even(avg(followers), 0) AS BIGINT) AS average_followers_n
+  FROM artists GROUP BY 1
+) AS a USING (username)
+LEFT JOIN genres AS g USING (username)""",
     ),
     "mutual_artist": _with(
         _RANGE,
@@ -546,6 +604,7 @@ GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
     "shared_artists": _with(_PLAYS + _shared(100), "SELECT * FROM shared"),
     "compatibility_score": _with(_PLAYS + _shared(100), _SCORE),
     "compatibility_score_small_top": _with(_PLAYS + _shared(10), _SCORE),
+    "compatibility_score_large_top": _with(_PLAYS + _shared(5000), _SCORE),
     "compatibility_artists": _with(
         _PLAYS + _shared(100),
         "SELECT artist_name, time_left FROM shared ORDER BY time_left DESC, artist_name LIMIT 3",

@@ -42,10 +42,14 @@ def blend_panel(
     cutoffs: Mapping[str, date | str] | None = None,
     floors: Mapping[str, date | str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Users compared; cutoffs hold everywhere, floors for the running total only."""
+    """Users compared; cutoffs hold everywhere, floors for the running total only.
+
+    `rankings` has all five measures of a user from one pass; the frames of their names
+    rank users by one of them."""
     ranged = all_plays_in_range(apply_cutoff(plays, cutoffs or {}), start, end)
     rankings = {name: blend.rank(ranged, name) for name in blend.RANKINGS}
     return {
+        "rankings": blend.rankings(ranged),
         **rankings,
         "mutual_artist": blend.mutual_artist(ranged, users),
         "mutual_track": blend.mutual_track(ranged, users),

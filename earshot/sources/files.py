@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 from functools import reduce
 
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from earshot.functions.columns import day_before
 from earshot.schema import RAW_EXPORT
+from earshot.sources.shared import exists
 
 MISSING_TEXT = "NA"
 MONTH = "play_month"
@@ -37,7 +38,7 @@ _CSV = {
 }
 
 
-def _as_text(schema: T.StructType) -> T.StructType:
+def as_text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
 
@@ -65,7 +66,7 @@ def read_csv_table(
     large files known to have none, which are then split. A row with another number of
     fields than the header is an error.
     """
-    raw = spark.read.schema(_as_text(schema)).csv(
+    raw = spark.read.schema(as_text_schema(schema)).csv(
         path, header=True, enforceSchema=False, **csv_options(multiline)
     )
     return from_text(raw, schema)
@@ -116,11 +117,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     )
 
 
+def csv_record(columns: Sequence[str]) -> Column:
+    """A row's CSV record, in the form of `write_csv`."""
+    options = {**_CSV, "nullValue": MISSING_TEXT, "quoteAll": "true"}
+    return F.to_csv(F.struct(*[F.col(name) for name in columns]), options)
+
+
 def csv_lines(df: DataFrame) -> DataFrame:
     """One column `line`, a CSV record per row, in the form of `write_csv`."""
-    record = F.struct(*[F.col(name) for name in df.columns])
-    options = {**_CSV, "nullValue": MISSING_TEXT, "quoteAll": "true"}
-    return csv_text(df).select(F.to_csv(record, options).alias("line"))
+    return csv_text(df).select(csv_record(df.columns).alias("line"))
 
 
 def csv_values(lines: DataFrame, schema: T.StructType) -> DataFrame:
@@ -142,6 +147,43 @@ def json_values(texts: DataFrame, schema: T.StructType, array: bool = False) ->
     return texts.select(F.from_json("line", schema).alias("row")).select("row.*")
 
 
+def reconciled(table: DataFrame, schema: T.StructType) -> DataFrame:
+    """A user's table with the schema's columns, then its own others.
+
+    Columns it lacks are missing, and those of another type are cast; text is read as
+    CSV holds it. What can't be cast is an error.
+    """
+    types = dict(table.dtypes)
+    own = []
+    for field in schema.fields:
+        if field.name not in types:
+            own.append(F.lit(None).cast(field.dataType).alias(field.name))
+        elif types[field.name] == "string":
+            own.append(_parsed(field))
+        else:
+            own.append(F.col(field.name).cast(field.dataType).alias(field.name))
+    others = [F.col(f"`{name}`") for name in table.columns if name not in schema.fieldNames()]
+    return table.select(*own, *others)
+
+
+def read_user_tables(
+    spark: SparkSession, tables: Mapping[str, str], schema: T.StructType, multiline: bool = True
+) -> DataFrame:
+    """Several users' CSV files, each with a header of its own, as one table.
+
+    Columns are aligned by name, in any order: those of the schema with its types, then
+    what other columns any user has, as text. A column that a user lacks is missing in
+    their rows. `username` is the mapping's key.
+    """
+    if not tables:
+        raise ValueError("no tables to read")
+    own = []
+    for user, path in tables.items():
+        raw = spark.read.csv(path, header=True, **csv_options(multiline))
+        own.append(reconciled(raw.drop("username"), schema).withColumn("username", F.lit(user)))
+    return union_by_name(*own)
+
+
 def union_by_name(*tables: DataFrame) -> DataFrame:
     """Stack users' tables by column name; a column one of them lacks is missing there."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
@@ -162,6 +204,51 @@ def write_plays(plays: DataFrame, path: str, mode: str = "error") -> None:
     clustered.write.mode(mode).partitionBy(MONTH).parquet(path)
 
 
+def merge_plays(plays: DataFrame, path: str) -> None:
+    """Store plays in what `write_plays` stored, in place of what they replace.
+
+    The plays of an export replace their users' stored plays of the months they are from;
+    other users and months stay. So storing an export again changes nothing, and a corrected
+    one corrects. Only the folders of those months are read and written (dynamic partition
+    overwrite): new files are complete before any folder is exchanged, so a run that fails
+    can be repeated. Plays without a time are in a folder of their own and count as a month.
+    """
+    spark = plays.sparkSession
+    if not exists(spark, path):
+        write_plays(plays, path)
+        return
+    stamped = plays.withColumn(MONTH, F.trunc(F.col("time").cast("date"), "month"))
+    touched = stamped.select(F.col("username").alias("_user"), F.col(MONTH).alias("_month")).distinct()
+    # As many as there are months in a calendar, whatever the number of plays.
+    months = [row[0] for row in stamped.select(MONTH).distinct().collect()]
+    if not months:
+        return
+    dated = [month for month in months if month is not None]
+    inside = F.col(MONTH).isin(dated) if dated else F.lit(False)
+    stored = spark.read.parquet(path)
+    stored = stored.filter(inside | F.col(MONTH).isNull() if None in months else inside)
+    replaced = stored.username.eqNullSafe(touched._user) & stored[MONTH].eqNullSafe(touched._month)
+    kept = stored.join(touched, replaced, "left_anti")
+    merged = kept.unionByName(stamped, allowMissingColumns=True)
+    sized = merged.hint("rebalance", F.col(MONTH), F.col("username"))
+    clustered = sized.sortWithinPartitions(MONTH, "username", "time")
+    writer = clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(MONTH).parquet(path)
+    spark.catalog.refreshByPath(path)
+
+
+def write_plays_by_user(plays: DataFrame, table: str, buckets: int, mode: str = "error") -> None:
+    """Store plays as a table bucketed by user and sorted by user and time.
+
+    What groups by user then reads each bucket in one task and shuffles nothing. A user
+    with much of the data fills a bucket, so this suits many users of bounded size; month
+    folders (`write_plays`) suit the others. Rows are shuffled once, by bucket.
+    """
+    shuffled = plays.repartition(buckets, "username")
+    writer = shuffled.write.mode(mode).format("parquet")
+    writer.bucketBy(buckets, "username").sortBy("username", "time").saveAsTable(table)
+
+
 def read_plays(
     spark: SparkSession, path: str, since: date | None = None, before: date | None = None
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from earshot.functions import first_per_key
 from earshot.operators import filters, prepare, stats
 from earshot.operators.wrapped import _top_artist
 from earshot.plans import etl
-from earshot.plans.catalog import QUERIES
+from earshot.plans.catalog import QUERIES, STORING
 from earshot.sources import read_plays, write_plays
 
 
@@ -188,7 +188,7 @@ def _jobs(spark):
     return spark.sparkContext._jsc.sc().statusStore().jobsList(None).size()
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STORING))
 def test_building_a_query_starts_no_job(spark, name):
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     before = _jobs(spark)

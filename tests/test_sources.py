@@ -17,10 +17,14 @@ from earshot.sources import (
     days_spanned,
     json_lines,
     json_values,
+    merge_plays,
     read_csv_table,
     read_exports,
     read_json_table,
     read_plays,
+    read_user_tables,
+    scan_csv,
+    scan_json,
     union_by_name,
     write_csv,
     write_plays,
@@ -291,3 +295,107 @@ def test_artist_attributes_take_the_first_of_each_list(spark):
         ("listed", 5),
         ("unknown", None),
     ]
+
+
+# Broken rows, users' files, stored months
+
+
+NUMBERS = T.StructType([T.StructField("name", T.StringType()), T.StructField("n", T.LongType())])
+
+
+def test_broken_csv_rows_are_set_aside_and_counted(spark, tmp_path, rows):
+    good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
+    good.write_text('name,n\na,1\n"b ""x""\nc",2\nNA,NA\n"",\n')
+    bad.write_text("name,n\nd\ne,many\nf,3,4\ng,5\n")
+    scan = scan_csv(spark, [str(good), str(bad)], NUMBERS)
+    assert sorted(rows(scan.rows), key=repr) == sorted(
+        [("a", 1), ('b "x"\nc', 2), (None, None), ("", None), ("g", 5)], key=repr
+    )
+    assert scan.counts.get == {"records": 8, "broken": 3}
+    found = sorted((r.reason, r.record, r.file.endswith("/bad.csv")) for r in scan.broken.collect())
+    assert found == [("fields", "d", True), ("fields", "f,3,4", True), ("n", "e,many", True)]
+    # What a query needs doesn't change which rows are good.
+    again = scan_csv(spark, [str(good), str(bad)], NUMBERS)
+    assert again.rows.count() == 5 and again.rows.select("name").filter("name = 'd'").count() == 0
+
+
+def test_broken_json_rows_are_set_aside_and_counted(spark, tmp_path, rows):
+    path = tmp_path / "rows.json"
+    path.write_text('{"name":"a","n":1}\n{"name":"b","n":\n{"name":"c","n":"many"}\n{"n":4}\n')
+    scan = scan_json(spark, str(path), NUMBERS)
+    assert sorted(rows(scan.rows), key=repr) == [("a", 1), (None, 4)]
+    assert scan.counts.get == {"records": 4, "broken": 2}
+    assert sorted(r.record for r in scan.broken.collect()) == ['{"name":"b","n":', '{"name":"c","n":"many"}']
+    assert scan_json(spark, str(path), NUMBERS).rows.select("name").count() == 2
+
+
+def test_an_empty_folder_has_no_rows_and_no_broken_ones(spark, tmp_path):
+    spark.createDataFrame([], "line string").write.text(str(tmp_path / "none"))
+    scan = scan_json(spark, str(tmp_path / "none"), NUMBERS)
+    assert scan.rows.count() == 0 and scan.broken.count() == 0
+
+
+def test_users_files_with_other_columns_are_stacked(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("n,name,username\n1,x,someone\nNA,NA,someone\n")
+    (tmp_path / "b.csv").write_text("name,mood\ny,calm\n")
+    files = {user: str(tmp_path / f"{user}.csv") for user in "ab"}
+    stacked = read_user_tables(spark, files, T.StructType([*NUMBERS.fields, T.StructField("username", T.StringType())]))
+    assert dict(stacked.dtypes) == {"name": "string", "n": "bigint", "username": "string", "mood": "string"}
+    found = rows(stacked.select("username", "name", "n", "mood"))
+    assert sorted(found, key=repr) == sorted(
+        [("a", "x", 1, None), ("a", None, None, None), ("b", "y", None, "calm")], key=repr
+    )
+    with pytest.raises(ValueError):
+        read_user_tables(spark, {}, NUMBERS)
+
+
+def _months(path):
+    return {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in path.glob("play_month=*")}
+
+
+def test_merging_rewrites_only_the_months_touched(spark, make_plays, tmp_path, rows):
+    path = tmp_path / "plays"
+
+    def play(user, day, track):
+        return {"username": user, "time": f"2024-{day} 10:00:00", "track_name": track}
+
+    first = make_plays(play("ann", "01-03", "a"), play("bob", "01-04", "b"), play("ann", "02-01", "c"), play(None, "02-02", "d"))
+    merge_plays(first, str(path))  # nothing is stored yet
+    before = _months(path)
+    export = make_plays(play("ann", "02-05", "new"), play("ann", "03-01", "more"), play(None, "02-07", "e"))
+    merge_plays(export, str(path))
+    expected = [("ann", "a"), ("bob", "b"), ("ann", "new"), ("ann", "more"), (None, "e")]
+
+    def stored():
+        return sorted(rows(read_plays(spark, str(path)).select("username", "track_name")), key=repr)
+
+    assert stored() == sorted(expected, key=repr)
+    after = _months(path)
+    assert after["play_month=2024-01-01"] == before["play_month=2024-01-01"]
+    assert after["play_month=2024-02-01"] != before["play_month=2024-02-01"]
+    merge_plays(export, str(path))
+    merge_plays(export.limit(0), str(path))
+    assert stored() == sorted(expected, key=repr)
+
+
+def test_merged_first_rows_equal_a_rebuild(spark, rows):
+    """Earlier, later, equal and new rows of a name; only changed names are looked up."""
+    schema = "time timestamp_ntz, event_id long, track_name string, spotify_track_uri string"
+
+    def plays(*found):
+        return spark.createDataFrame([(datetime(2024, 1, d), i, n, f"spotify:track:{u}") for d, i, n, u in found], schema)
+
+    older = plays((5, 1, "a", "1"), (6, 2, "b", "2"), (7, 3, None, "3"))
+    newer = plays((4, 4, "a", "4"), (8, 5, "b", "5"), (9, 6, "c", "6"), (1, 7, None, "7"), (6, 2, "b", "2"))
+    features = spark.createDataFrame([(str(i), *[i / 10] * 11) for i in range(1, 8)], ["track_id", *prepare.TRACK_FEATURES])
+    asked = []
+
+    def look_up(found):
+        asked.append(sorted(r.spotify_track_uri[-1] for r in found.collect()))
+        return prepare.with_features_by_uri(found, features)
+
+    state = look_up(prepare.first_rows(older, "track_name"))
+    merged = prepare.merged_dim(state, prepare.first_rows(newer, "track_name"), "track_name", prepare.TRACK_FEATURES, look_up)
+    rebuilt = prepare.track_dim(older.unionByName(newer), features)
+    assert sorted(rows(merged.select(rebuilt.columns)), key=repr) == sorted(rows(rebuilt), key=repr)
+    assert asked == [["1", "2", "3"], ["4", "6", "7"]]
