@@ -235,3 +235,62 @@ def test_hot_missing_artist_is_split(unbroadcast):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(r[1] for r in sizes) == 60000 and max(r[1] for r in sizes) < 15000
     assert frame.where("artist_name is null and tempo = 0.5 and genre is null").count() == 20000
+
+
+def test_long_lists_are_cut_in_parts(spark, make_plays):
+    """At n = 5,000 no task gets all 200,000 artists of a person."""
+    from earshot.operators import compat
+
+    one = make_plays({"username": "ann"}).drop("artist_name", "username")
+    artists = spark.range(0, 200_000, 1, 4).selectExpr("concat('artist ', id) AS artist_name", "id % 1000 AS ms")
+    people = spark.createDataFrame([("ann",), ("bob",)], "username string")
+    plays = artists.join(people).join(F.broadcast(one)).withColumn("ms_played", F.col("ms"))
+    frame = compat._shared(plays, "ann", "bob", 5000)
+    plan = plan_of(frame)
+    assert plan.index("hashpartitioning(username") < plan.rindex("part#")
+    before = set(_stages(spark))
+    assert frame.count() == 5000
+    store, most = spark.sparkContext._jsc.sc().statusStore(), 0
+    for number in set(_stages(spark)) - before:
+        tasks = store.taskList(number, 0, 10_000)
+        for i in range(tasks.size()):
+            metrics = tasks.apply(i).taskMetrics()
+            if metrics.isDefined():
+                most = max(most, metrics.get().shuffleReadMetrics().recordsRead())
+    # Of 400,000 rows a task gets a few parts, and at last two lists of 16 parts.
+    assert 0 < most <= 170_000
+
+
+def test_rankings_read_the_plays_once(spark):
+    plan = plan_of(QUERIES["rankings"](spark, SMALL))
+    assert plan.count("FileScan parquet") == 2  # the events and their catalogue
+
+
+@pytest.mark.parametrize("name", ["feature_distribution", "artist_tempo_density"])
+def test_density_plan_stays_small(spark, name):
+    """One scalar subquery for the band, and four uses of the pairs' shuffle, in line."""
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    found = {"feature_distribution": 1, "artist_tempo_density": 2}[name]
+    assert len(set(re.findall(r"scalar-subquery#\d+", plan))) <= found * 5
+    assert plan.count("Aggregate [point") == 1 and plan.count("Window") <= 12
+
+
+def test_grouping_a_bucketed_table_by_user_shuffles_nothing(unbroadcast, make_plays, sf_dir):
+    from earshot.operators import blend
+    from earshot.sources import write_plays_by_user
+
+    spark, table = unbroadcast, "plays_by_user_of_a_test"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    try:
+        write_plays_by_user(QUERIES["plays"](spark, sf_dir), table, 4)
+        own = spark.table(table)
+        grouped = own.groupBy("username").agg(F.sum("ms_played").alias("ms"))
+        assert "Exchange" not in plan_of(grouped)
+        daily = own.groupBy("username", F.to_date("time").alias("date")).agg(F.sum("ms_played").alias("ms"))
+        assert "Exchange" not in plan_of(daily)
+        assert grouped.count() == 3
+        ranked = blend.rank(own, "artist_count")
+        plain = blend.rank(QUERIES["plays"](spark, sf_dir), "artist_count")
+        assert [tuple(r) for r in ranked.collect()] == [tuple(r) for r in plain.collect()]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
