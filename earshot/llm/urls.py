@@ -5,9 +5,9 @@ path starts with the rule's, and the longest rule that fits decides. Urls that n
 fits get the verdict of boosted trees (Spark's own) over lexical features: lengths,
 depth, digit ratio, entropy of the characters, parameter counts, and statistics of the
 host's suffix, the share of labelled urls blocked under its last two labels' two ends,
-smoothed. The trees learn from about `fit_rows` urls, seeded: those that the rules
-block are labelled 1, those they allow 0, and those they say nothing about count as
-allowed too, as a host's other pages aren't bad because one of its folders is.
+smoothed. Labelled are the urls that rules decide, blocked ones 1 and allowed ones 0;
+those that are judged are no part of the training or the statistics. The trees learn from
+about `fit_rows` urls, seeded, half of each label as far as there are as many.
 
 DataFrame functions only. A missing url has empty parts, fits no rule, and is judged by
 the trees on its (zero) features. Without urls of both labels there is nothing to learn,
@@ -107,13 +107,14 @@ def judged(pages: DataFrame, rules: list[Rule], fit_rows: int = 20000, trees: in
     for rule, verdict in rules:
         if verdict == "block":
             blocked = F.when(F.col("rule") == rule, 1.0).otherwise(blocked)
-    labelled = rows.withColumn("label", blocked)
+    labelled = rows.where("rule is not null").withColumn("label", blocked)
     kinds = labelled.agg(F.count("*").alias("n"), F.sum("label").alias("blocks")).first()
-    n, blocks = kinds["n"], kinds["blocks"] or 0
+    n, blocks = kinds["n"], int(kinds["blocks"] or 0)
     by_rule = F.when(blocked == 1.0, "block").otherwise("allow")
-    fit = labelled.where(F.pmod(F.xxhash64(F.lit(seed), "host", "path"), F.lit(max(1, n // fit_rows))) == 0)
-    if 0 < blocks < n and fit.select("label").distinct().count() < 2:
-        fit = labelled  # too few of one label for a share
+    # One in so many of each label; all, where there are few.
+    one_in = [max(1, 2 * of // fit_rows) for of in (n - blocks, blocks)]
+    chosen = F.xxhash64(F.lit(seed), "page_id", "host", "path")
+    fit = labelled.where(F.pmod(chosen, F.when(F.col("label") == 1.0, one_in[1]).otherwise(one_in[0])) == 0)
     if not 0 < blocks < n:
         only = F.lit("block" if n and blocks == n else "allow")
         return rows.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), by_rule).otherwise(only).alias("verdict"), F.lit(None).cast("double").alias("block_score"))

@@ -214,6 +214,19 @@ def test_trees_learn(spark):
     assert found[0].block_score is None and 0 <= found[600].block_score < found[601].block_score <= 1
 
 
+def test_judged_urls_are_no_part_of_what_the_trees_learn(spark):
+    """Both verdicts occur on the tables, and more urls to judge change no score."""
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url")
+    found = {r.page_id: r for r in urls.judged(pages, URL_RULES).collect()}
+    assert {r.verdict for r in found.values() if r.rule is None} == {"allow", "block"}
+    more = spark.range(500).selectExpr("id + 1000000 AS page_id", "concat('https://new', id, '.example.com/xx/', id) AS url")
+    again = {r.page_id: r for r in urls.judged(pages.unionByName(more), URL_RULES).collect()}
+    for i, r in found.items():
+        assert again[i].verdict == r.verdict
+        assert (again[i].block_score is None) == (r.block_score is None)
+        assert r.block_score is None or abs(again[i].block_score - r.block_score) < 1e-9
+
+
 # Vectors
 
 
