@@ -154,8 +154,8 @@ def test_phrases_equal_brute_force(spark, odd):
         rows.append((i, " ".join(words), rng.choice(["en", "de", None])))
     rows += [(1000 + i, "a b c a b c a b c a b c. one two three four five six seven\n", "en") for i in range(12)]
     frame = odd.unionByName(_docs(spark, rows))
-    for top in (2000, 7):
-        found = sorted(tuple(r) for r in phrases.collocations(frame, top=top).collect())
+    for top, counting in ((2000, {}), (7, {"flush": 5, "group": 300})):
+        found = sorted(tuple(r) for r in phrases.collocations(frame, top=top, **counting).collect())
         assert found == _phrases([(r.text, r.lang) for r in frame.collect()], top=top)
     assert phrases.collocations(frame.limit(0)).count() == 0
 
@@ -189,16 +189,38 @@ def test_paths_of_chains_and_circles(spark, seed):
 
 
 def test_compacted_paths_hold_every_edge_in_order(spark):
-    words = [f"w{i}" for i in range(60)]
-    edges = [("en", *words[i : i + 3], 10 + i) for i in range(58)] + [("en", "q", "w0", "w1", 11), ("en", "z", "w0", "w1", 12), ("de", "o", "o", "o", 99)]
-    found = phrases.compacted(spark.createDataFrame(edges, "lang string, w1 string, w2 string, w3 string, f long"), part=16).collect()
-    assert sorted((r.lang, *tuple(e)) for r in found for e in r.edges) == sorted(edges)
+    edges = [(i, i + 1, i + 2, 10 + i) for i in range(58)] + [(100, 0, 1, 11), (101, 0, 1, 12), (7, 7, 7, 99)]
+    found = phrases.compacted(spark.createDataFrame(edges, "w1 long, w2 long, w3 long, f long"), part=16).collect()
+    assert sorted(tuple(e) for r in found for e in r.edges) == sorted(edges)
     for r in found:
         assert len(r.edges) <= 16
         assert all((a.w2, a.w3) == (b.w1, b.w2) for a, b in zip(r.edges, r.edges[1:]))
     assert len(found) == 3 + 4  # one path of 58 in four parts, three of one edge
 
 
+def test_hashes_of_two_words_are_made_anew(spark, monkeypatch):
+    """Words that share a hash under one salt are told apart under the next."""
+    docs = _docs(spark, [(1, "a b c. " * 20, "en")])
+    real, salts = phrases.dictionary, []
+
+    def doubtful(docs, salt=""):
+        salts.append(salt)
+        found = real(docs, salt)
+        return found.withColumn("h", F.lit(5).cast("long")) if len(salts) == 1 else found
+
+    monkeypatch.setattr(phrases, "dictionary", doubtful)
+    assert [r.phrase for r in phrases.collocations(docs).collect()] == ["a b c"] and salts == ["", "+"]
+
+
+def test_packed_edges_come_back(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    words, counts = phrases._totals(rng.integers(-3, 3, (500, 3)), rng.integers(1, 400, 500))
+    back = phrases._unpack(phrases._pack(words, counts))
+    assert (back[0] == words).all() and (back[1] == counts).all()
+
+
 # Spelling variants
 
 
