@@ -26,6 +26,7 @@ from earshot.sources import (
     json_lines,
     json_values,
     merge_plays,
+    read_csv_table,
     read_plays,
     read_user_tables,
     scan_csv,
@@ -265,6 +266,13 @@ def stacked_user_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_user_tables(spark, files, PLAYS)
 
 
+@storing
+def enriched_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    enriched, folder = curated_plays(spark, sf_dir), shared_folder(spark)
+    write_csv(enriched, folder)
+    return read_csv_table(spark, folder, enriched.schema)
+
+
 @storing
 def months_stored_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A corrected export of some months replaces them; storing it twice changes nothing.

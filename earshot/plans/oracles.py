@@ -619,3 +619,4 @@ FROM playlist WHERE who IN ('user_a', 'user_b', 'user_c') GROUP BY artist_name,
 ORDER BY people DESC, avg_count DESC, avg(time) DESC, artist_name, track_name LIMIT 15""",
     ),
 }
+ORACLES["enriched_csv_files"] = ORACLES["curated_plays"]
