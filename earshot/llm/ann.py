@@ -7,7 +7,7 @@ the centroid pairs, with a heap, until the cells hold `share` of all entries (an
 `least` of them at least); the entries of those cells are reranked by the exact cosine
 of the original vectors in double precision. The pairs walked depend on the query and
 the cells' sizes alone; a cell with many entries is split into blocks, so a third of
-all vectors may be equal. All vectors are indexed.
+all vectors may be equal, and so are the queries that visit it. All vectors are indexed.
 
 Vectors that are missing, zero, or hold a missing or non-finite component, and rows
 without an id, take no part; nor do vectors whose length isn't the most common one
@@ -143,7 +143,7 @@ def _rerank(k: int, margin: float = 1e-9, cells: int = 1 << 22):
     return run
 
 
-def nearest(vectors: DataFrame, every: int = 50, k: int = 5, centroids: int = 32, share: float = 0.5, least: int = 1000, fit_rows: int = 4000, block: int = 1000) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 50, k: int = 5, centroids: int = 32, share: float = 0.5, least: int = 1000, fit_rows: int = 4000, block: int = 1000, query_block: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score for the queries, the ids divisible by `every`."""
     rows = usable(vectors)
     sample = rows.orderBy(F.xxhash64("vec_id")).limit(fit_rows).toPandas()
@@ -162,13 +162,19 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, centroids: int = 32
     parts = -(-sizes // block)
     blocks_of = F.array(*[F.lit(int(p)) for p in parts])
     entries = entries.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.get(blocks_of, F.col("cell"))).cast("int"))
-    queries = rows.where(F.col("vec_id") % every == 0).mapInPandas(
+    asked = rows.where(F.col("vec_id") % every == 0)
+    # Entries meet the queries in blocks of these, too.
+    lots = max(1, -(-asked.count() // query_block))
+    entries = entries.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
+    queries = asked.mapInPandas(
         _walks(one, two, sizes.reshape(len(one), len(two)), wanted), "vec_id long, vector array<double>, cells array<int>"
     )
     visits = queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.explode("cells").alias("cell"))
     visits = visits.select("query_id", "query", "cell", F.explode(F.sequence(F.lit(0), F.get(blocks_of, F.col("cell")) - 1)).alias("part"))
+    visits = visits.withColumn("lot", F.pmod(F.xxhash64("query_id"), F.lit(lots)).cast("int"))
+    places = ["cell", "part", "lot"]
     found = (
-        entries.groupBy("cell", "part").cogroup(visits.groupBy("cell", "part")).applyInPandas(_rerank(k), "query_id long, vec_id long, score double")
+        entries.groupBy(*places).cogroup(visits.groupBy(*places)).applyInPandas(_rerank(k), "query_id long, vec_id long, score double")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

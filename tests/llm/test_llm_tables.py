@@ -265,6 +265,14 @@ def test_recall_when_cells_are_many(spark):
     assert _recall(found, _brute(rows)) >= 0.9
 
 
+def test_query_blocks_change_nothing(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(1500, 8)).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    one, many = (sorted(tuple(r) for r in ann.nearest(frame, query_block=n, block=200).collect()) for n in (4096, 7))
+    assert one == many and len(one) == 30 * 5
+
+
 def test_equal_vectors_tie_by_id(spark):
     rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(400)] + [(i, [4.0, -3.0, 2.0, -1.0]) for i in range(400, 450)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
