@@ -115,12 +115,14 @@ def links(fingerprints: DataFrame, radius: int = 2, segments: int = 4, tile: int
     return pairs.mapInPandas(_compare(radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, segments: int = 4, tile: int = 2048) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, segments: int | None = None, tile: int = 2048) -> DataFrame:
     """One row per row of `docs` (doc_id, text): `doc_id`, `fp` (signed), `component_id`,
     the smallest doc_id among texts reachable over links of `radius` differing bits or
-    fewer, itself included."""
+    fewer, itself included. Unless given, `segments` is four up to four million different
+    fingerprints, and eight beyond."""
     own = stored(as_long(docs.select(as_text("doc_id"), "text").mapInPandas(_fingerprints(shingle), "doc_id string, fp long"), "doc_id"))
     known = stored(own.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    segments = segments or (4 if known.count() <= 4_000_000 else 8)
     roots = components(stored(links(known, radius, segments, tile)))
     placed = known.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
