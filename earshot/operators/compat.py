@@ -11,6 +11,7 @@ from earshot.functions import asc, desc, minutes, top_n, whole
 from earshot.functions.columns import MS_PER_MINUTE
 from earshot.schema import RADAR_FEATURES
 
+# Fixed value: what playlists show where no song has an image.
 DEFAULT_IMAGE = "default_value"
 
 
