@@ -37,6 +37,7 @@ from .common import discard, stored
 LETTERS = "[A-Za-z\\u00C0-\\u00FF]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 STEP = 64
+WITHIN = np.arange(STEP, dtype=np.uint8)
 END, MARK = 0, 1  # codes of the text's end and of the delimiter; letters follow
 
 
@@ -44,19 +45,25 @@ END, MARK = 0, 1  # codes of the text's end and of the delimiter; letters follow
 
 
 def suffix_array(codes: np.ndarray) -> np.ndarray:
-    """By prefix doubling; the last code is smaller than all others."""
-    n, k = len(codes), 1
-    rank = codes.astype(np.int64)
+    """By prefix doubling from as many codes as one key holds; the last code is smaller
+    than all others."""
+    n = len(codes)
+    bits = int(codes.max()).bit_length()
+    k = max(1, min(n, 62 // bits))
+    key = np.zeros(n, np.int64)
+    for i in range(k):
+        key <<= bits
+        key[: n - i] |= codes[i:]
     while True:
-        after = np.zeros(n, np.int64)
-        after[: n - k] = rank[k:] + 1
-        key = rank * (max(n, 256) + 2) + after
         order = np.argsort(key, kind="stable")
         changed = np.concatenate(([0], np.cumsum(key[order[1:]] != key[order[:-1]])))
-        rank = np.empty(n, np.int64)
-        rank[order] = changed
         if changed[-1] == n - 1:
             return order
+        rank = np.empty(n, np.int64)
+        rank[order] = changed
+        after = np.zeros(n, np.int64)
+        after[: n - k] = rank[k:] + 1
+        key = rank * (n + 2) + after
         k *= 2
 
 
@@ -73,17 +80,30 @@ class Index:
         blocks = np.arange(n) // STEP
         per_block = np.bincount(blocks * symbols + last, minlength=(n // STEP + 1) * symbols).reshape(-1, symbols)
         self.before = np.concatenate((np.zeros((1, symbols), np.int64), np.cumsum(per_block, axis=0)[:-1]))
+        self.smaller = np.cumsum(self.before, axis=1) - self.before
         total = np.bincount(codes, minlength=symbols)
         self.first = np.cumsum(total) - total
 
+    def _inside(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Blocks of places, and what of the transform is in them before the places."""
+        block = at // STEP
+        inside = self.last.reshape(-1, STEP)[block]
+        inside[WITHIN >= (at % STEP).astype(np.uint8)[:, None]] = self.symbols
+        return block, inside
+
     def ranks(self, at: np.ndarray) -> np.ndarray:
         """How often each symbol is among the first `at` of the transform, per place."""
-        block = at // STEP
-        inside = self.last[(block * STEP)[:, None] + np.arange(STEP)]
-        inside = np.where(np.arange(STEP) < (at % STEP)[:, None], inside, self.symbols)
+        block, inside = self._inside(at)
         places = np.arange(len(at))[:, None] * (self.symbols + 1) + inside
         counts = np.bincount(places.ravel(), minlength=len(at) * (self.symbols + 1))
-        return self.before[block] + counts.reshape(len(at), -1)[:, : self.symbols]
+        return self.before[block] + counts.reshape(len(at), self.symbols + 1)[:, : self.symbols]
+
+    def rank(self, at: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one symbol, and for all smaller ones together."""
+        block, inside = self._inside(at)
+        symbols = symbol.astype(np.uint8)[:, None]
+        own = self.before[block, symbol] + np.count_nonzero(inside == symbols, axis=1)
+        return own, self.smaller[block, symbol] + np.count_nonzero(inside < symbols, axis=1)
 
 
 class Shard:
@@ -107,21 +127,28 @@ class Shard:
         points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
         return np.searchsorted(self.alphabet, points) + MARK
 
-    def _extend(self, own: Index, lo: np.ndarray, other: np.ndarray, width: np.ndarray) -> tuple:
-        """Intervals of all one-symbol extensions: starts in the index that is extended,
-        starts in the other, and widths, each (states, symbols)."""
+    def left(self, lo: np.ndarray, lo2: np.ndarray, width: np.ndarray, symbol: np.ndarray) -> tuple:
+        """Intervals of the extension by a symbol before the match."""
+        return self._by_one(self.forward, lo, lo2, width, symbol)
+
+    def right(self, lo: np.ndarray, lo2: np.ndarray, width: np.ndarray, symbol: np.ndarray) -> tuple:
+        """And behind it."""
+        lo2, lo, width = self._by_one(self.reverse, lo2, lo, width, symbol)
+        return lo, lo2, width
+
+    def every_right(self, lo: np.ndarray, lo2: np.ndarray, width: np.ndarray) -> tuple:
+        """Intervals of all extensions by a symbol behind the match, each (states, symbols)."""
         n = len(lo)
-        both = own.ranks(np.concatenate((lo, lo + width)))
+        both = self.reverse.ranks(np.concatenate((lo2, lo2 + width)))
         new = both[n:] - both[:n]
         smaller = np.cumsum(new, axis=1) - new
-        return own.first + both[:n], other[:, None] + smaller, new
-
-    def left(self, lo, lo2, width):
-        return self._extend(self.forward, lo, lo2, width)
+        return lo[:, None] + smaller, self.reverse.first + both[:n], new
 
-    def right(self, lo, lo2, width):
-        lo2, lo, width = self._extend(self.reverse, lo2, lo, width)
-        return lo, lo2, width
+    @staticmethod
+    def _by_one(own: Index, lo: np.ndarray, other: np.ndarray, width: np.ndarray, symbol: np.ndarray) -> tuple:
+        n = len(lo)
+        rank, smaller = own.rank(np.concatenate((lo, lo + width)), np.concatenate((symbol, symbol)))
+        return own.first[symbol] + rank[:n], other + smaller[n:] - smaller[:n], rank[n:] - rank[:n]
 
 
 def one_edit(shard: Shard, queries: list[str], halves: list[int], block: int = 1024) -> list[tuple[int, int]]:
@@ -144,37 +171,38 @@ def _search(shard: Shard, queries: list[np.ndarray], halves: np.ndarray) -> list
     for step in range(int(halves.max()) + 1):
         live = np.nonzero(halves >= step)[0]
         wanted = np.where(halves[live] > step, symbols[starts[live] + np.maximum(halves[live] - 1 - step, 0)], MARK)
-        grown = shard.left(lo[live], lo2[live], width[live])
-        lo[live], lo2[live], width[live] = (g[np.arange(len(live)), wanted] for g in grown)
-    # Then to the right: query, place in it, edits made, intervals.
-    query, place, edits = np.arange(n), halves.copy(), np.zeros(n, np.int64)
+        lo[live], lo2[live], width[live] = shard.left(lo[live], lo2[live], width[live], wanted)
+    # Then to the right, as query, place in it and intervals: states without an edit ...
+    query, place = np.arange(n), halves.copy()
+    edited = [np.zeros(0, np.int64)] * 5
     out = []
-    while len(query):
+    while len(query) or len(edited[0]):
+        # ... and with one, which follow the query to its end, and to the delimiter there.
+        i, j, lo_1, lo2_1, width_1 = edited
+        ended = j == lengths[i]
+        wanted = np.where(ended, MARK, symbols[starts[i] + j])
+        lo_1, lo2_1, width_1 = shard.right(lo_1, lo2_1, width_1, wanted)
+        for q, first, many in zip(i[ended], lo_1[ended], width_1[ended], strict=True):
+            out += [(int(q), int(shard.word_at[p])) for p in shard.forward.suffixes[first : first + many]]
+        on = ~ended & (width_1 > 0)
+        states = [(i[on], j[on] + 1, lo_1[on], lo2_1[on], width_1[on])]
+        # An edit: another letter in place of the query's, a letter more, or one less.
         ended = place == lengths[query]
-        wanted = np.where(ended, MARK, symbols[np.minimum(starts[query] + place, len(symbols) - 1)])
-        a, b, w = shard.right(lo, lo2, width)
+        wanted = np.where(ended, MARK, symbols[starts[query] + place])
         every = np.arange(len(query))
-        whole = np.nonzero(ended & (edits == 1) & (w[every, MARK] > 0))[0]
-        for i in whole:
-            first = a[i, MARK]
-            out += [(int(query[i]), int(shard.word_at[p])) for p in shard.forward.suffixes[first : first + w[i, MARK]]]
-        fresh = edits == 0
-        letter = np.arange(shard.symbols) > MARK
-        present = (w > 0) & letter
-        own = np.zeros_like(present)
-        own[every, wanted] = True
-        states = []
-        # As the query has it; another letter in its place; a letter more; one less.
-        for chosen, forward, cost in (
-            (present & own & ~ended[:, None], 1, 0),
-            (present & ~own & (fresh & ~ended)[:, None], 1, 1),
-            (present & fresh[:, None], 0, 1),
-        ):
+        a, b, w = shard.every_right(lo, lo2, width)
+        present = w > 0
+        present[:, : MARK + 1] = False
+        replaced = present & ~ended[:, None]
+        replaced[every, wanted] = False
+        for chosen, forward in ((replaced, 1), (present, 0)):
             i, c = np.nonzero(chosen)
-            states.append((query[i], place[i] + forward, edits[i] + cost, a[i, c], b[i, c], w[i, c]))
-        i = np.nonzero(fresh & ~ended)[0]
-        states.append((query[i], place[i] + 1, edits[i] + 1, lo[i], lo2[i], width[i]))
-        query, place, edits, lo, lo2, width = (np.concatenate(x) for x in zip(*states, strict=True))
+            states.append((query[i], place[i] + forward, a[i, c], b[i, c], w[i, c]))
+        on = ~ended
+        states.append((query[on], place[on] + 1, lo[on], lo2[on], width[on]))
+        edited = [np.concatenate(x) for x in zip(*states, strict=True)]
+        query, place, wanted = query[on], place[on] + 1, wanted[on]
+        lo, lo2, width = a[every[on], wanted], b[every[on], wanted], w[every[on], wanted]
     return out
 
 
