@@ -308,8 +308,12 @@ def candidates(docs: DataFrame, least: int = 10, **counting) -> DataFrame:
     return of_two.unionByName(of_three).join(totals, "lang").select("lang", "phrase", "a", "l", "r", "n", "score")
 
 
-def collocations(docs: DataFrame, top: int = 2000, least: int = 10, **counting) -> DataFrame:
-    """Each language's `top` phrases: lang, rank, phrase, a, l, r, n, score."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = candidates(docs, least, **counting).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+def collocations(docs: DataFrame, top: int = 2000, least: int = 10, deals: int = 16, **counting) -> DataFrame:
+    """Each language's `top` phrases: lang, rank, phrase, a, l, r, n, score. A language is
+    dealt into `deals` parts that are cut first, so no task ranks all of its phrases."""
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    found = candidates(docs, least, **counting).withColumn("deal", F.pmod(F.xxhash64("phrase"), F.lit(deals)))
+    for keys in (["lang", "deal"], ["lang"]):
+        ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        found = found.withColumn("rank", ranked).where(F.col("rank") <= top)
+    return found.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
